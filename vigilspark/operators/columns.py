@@ -99,3 +99,13 @@ def narrow_integers(df: DataFrame, skip: Sequence[str] = ("safetyreportid",)) ->
         elif high < 32767 and low > -32768:
             types[name] = "smallint"
     return df.withColumns({name: named(name).cast(kind) for name, kind in types.items()})
+
+
+def evaluated_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add costly columns so that later steps read their values instead of repeating their expressions.
+
+    The optimizer merges neighbouring projections and moves filters below them, which copies an expression
+    to every place that uses it; it does neither across a generator, here of exactly one row.
+    """
+    row = F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))
+    return df.select("*", F.inline_outer(row))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import alerts
 from ..session import ensure_checkpoint_dir
-from .columns import named
+from .columns import evaluated_once, named
 from .features import score_features
 
 LABEL = "is_serious"
@@ -107,20 +107,20 @@ def train_all(train: DataFrame) -> TrainedModels:
 def score(model: PipelineModel, events: DataFrame) -> DataFrame:
     """Prediction, both class probabilities, label and confidence flag for every event."""
     scored = model.transform(score_features(events))
-    internal = [c for c in ("features", "scaled", "rawPrediction", "probability") if c in scored.columns]
     p = vector_to_array(F.col("probability"))
-    return (
-        scored.withColumns({
+    results = evaluated_once(
+        scored.withColumnRenamed("prediction", "_class"),
+        {
             "confidence_non_serious": p[0],
             "confidence_serious": p[1],
-            "prediction": F.col("prediction").cast("int"),
-        })
-        .drop(*internal)
-        .withColumns({
-            "prediction_label": alerts.score_label(F.col("prediction")),
-            "high_confidence": alerts.is_confident(F.col("confidence_serious")),
-        })
+            "prediction": F.col("_class").cast("int"),
+        },
     )
+    internal = [c for c in ("features", "scaled", "rawPrediction", "probability", "_class") if c in results.columns]
+    return results.drop(*internal).withColumns({
+        "prediction_label": alerts.score_label(F.col("prediction")),
+        "high_confidence": alerts.is_confident(F.col("confidence_serious")),
+    })
 
 
 def classification_metrics(df: DataFrame, label: str = LABEL, prediction: str = "prediction") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from .. import constants as K
 from ..functions import alerts
 from ..functions.coerce import to_number
-from ..operators.columns import named, number
+from ..operators.columns import evaluated_once, named, number
 from ..schemas import EVENT_MESSAGE
 
 # Field that tells a message which is JSON from one which is not; never part of a message itself.
@@ -22,22 +22,22 @@ def read_event_files(spark: SparkSession, path: str, schema: T.StructType, **opt
 
 
 def parse_messages(messages: DataFrame, schema: T.StructType = EVENT_MESSAGE) -> DataFrame:
-    """Message key, raw value and the parsed ``event``; ``event`` is null where the value is no JSON object."""
+    """Messages with the parsed ``event`` and whether their value was a ``readable`` JSON object."""
     full = T.StructType(schema.fields + [T.StructField(_BAD, T.StringType())])
     parsed = F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD})
-    kept = messages.withColumn("parsed", parsed)
-    readable = F.col("parsed").isNotNull() & F.col(f"parsed.{_BAD}").isNull()
+    once = evaluated_once(messages, {"parsed": parsed})
     event = F.struct(*[F.col(f"parsed.{f.name}").alias(f.name) for f in schema.fields])
-    return kept.withColumn("event", F.when(readable, event)).drop("parsed")
+    readable = F.col("parsed").isNotNull() & F.col(f"parsed.{_BAD}").isNull()
+    return once.select(*messages.columns, event.alias("event"), readable.alias("readable"))
 
 
 def readable_events(parsed: DataFrame) -> DataFrame:
-    return parsed.where("event IS NOT NULL").select("key", "event.*")
+    return parsed.where("readable").select("key", "event.*")
 
 
 def dead_letters(parsed: DataFrame) -> DataFrame:
     """Messages that could not be read, for a sink of their own."""
-    return parsed.where("event IS NULL").select("key", "value")
+    return parsed.where("NOT readable").select("key", "value")
 
 
 def envelope(events: DataFrame, number_column: Column, ts: Column, stream_start: Column) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import rules, store
@@ -47,7 +48,8 @@ def drain_updates(stream: DataFrame, base: str, key: str) -> DataFrame:
         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    updates = spark.read.schema(stream.schema.add("update", "long")).parquet(f"{base}/out")
+    schema = T.StructType([*stream.schema.fields, T.StructField("update", T.LongType())])
+    updates = spark.read.schema(schema).parquet(f"{base}/out")
     latest = updates.groupBy(key).agg(F.max_by(F.struct(*[named(c) for c in stream.columns]), "update").alias("row"))
     return latest.select("row.*")
 
