@@ -8,7 +8,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from .coerce import to_number
 
 
 def band(value: Column, edges: Sequence[float | None], labels: Sequence) -> Column:
@@ -23,9 +22,9 @@ def band(value: Column, edges: Sequence[float | None], labels: Sequence) -> Colu
     return chosen
 
 
-def age_group_label(age: Column | str) -> Column:
+def age_group_label(age_number: Column) -> Column:
     """Cleaner's age group; an age outside the bands, or none, gives the text 'nan'."""
-    return F.coalesce(band(to_number(age), K.CLEANER_AGE_EDGES, K.CLEANER_AGE_LABELS), F.lit("nan"))
+    return F.coalesce(band(age_number, K.CLEANER_AGE_EDGES, K.CLEANER_AGE_LABELS), F.lit("nan"))
 
 
 def age_group_code(age_number: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+WHITESPACE = " \t\n\r\f\x0b"
+
 
 def as_column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -18,10 +20,15 @@ def no_nan(c: Column | str) -> Column:
 def to_number(c: Column | str) -> Column:
     """Text to double; text that is no number, and NaN, become null.
 
-    Java also reads a trailing type letter as part of a number ("5d", "1.5f"); that is text here.
+    Java reads a trailing type letter as part of a number, so "5d" would count as 5. Appending that letter
+    makes such text unreadable and leaves plain numbers as they are; infinities are named apart.
     """
-    text = as_column(c).cast("string")
-    return F.when(~text.rlike(r"[0-9.][dDfF]\s*$"), no_nan(text.try_cast("double")))
+    text = F.btrim(as_column(c).cast("string"), F.lit(WHITESPACE))
+    low = F.lower(text)
+    infinite = F.when(low.isin("inf", "+inf", "infinity", "+infinity"), F.lit(float("inf"))).when(
+        low.isin("-inf", "-infinity"), F.lit(float("-inf"))
+    )
+    return F.coalesce(F.concat(text, F.lit("d")).try_cast("double"), infinite)
 
 
 def equals_one(number: Column) -> Column:

@@ -5,13 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .coerce import as_column
-
-_WHITESPACE = " \t\n\r\f\x0b"
+from .coerce import WHITESPACE, as_column
 
 
 def strip(c: Column | str) -> Column:
-    return F.btrim(as_column(c).cast("string"), F.lit(_WHITESPACE))
+    return F.btrim(as_column(c).cast("string"), F.lit(WHITESPACE))
 
 
 def report_day(c: Column | str) -> Column:

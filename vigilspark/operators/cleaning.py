@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from .. import constants as K
 from ..functions import bands, dates, risk, trials
 from ..functions.coerce import equals_one
-from .columns import fill_zero, has_any, keep_existing, named, number
+from .columns import fill_zero, has_any, keep_existing, named, with_numbers
 from .encoding import one_hot
 
 DATE_COLUMNS = ["receivedate", "transmissiondate", "receiptdate"]
@@ -27,26 +27,26 @@ def clean_reports(reports: DataFrame) -> DataFrame:
     Patient details are read only where the input still has its ``patient`` column; flattened inputs get the
     'unknown' groups and zero counts.
     """
-    has_patient = "patient" in reports.columns
-    out = clean_dates(reports)
-    serious = number(reports, "serious") if "serious" in reports.columns else F.lit(None).cast("double")
+    have = set(reports.columns)
+    has_patient = "patient" in have
+    flags = has_any(reports, K.CLEANER_SEVERITY_FLAGS)
+    out = with_numbers(clean_dates(reports), ["serious", "patientonsetage", *flags])
+    serious = F.col("_n_serious") if "serious" in have else F.lit(None).cast("double")
     derived = {"is_serious": equals_one(serious)}
-    if "serious" in reports.columns:
+    if "serious" in have:
         derived["serious"] = serious
     derived["age_group"] = (
-        bands.age_group_label("patientonsetage")
-        if has_patient and "patientonsetage" in reports.columns else F.lit(UNKNOWN)
+        bands.age_group_label(F.col("_n_patientonsetage"))
+        if has_patient and "patientonsetage" in have else F.lit(UNKNOWN)
     )
     for name in ("gender", "weight_group", "primary_drug", "primary_reaction"):
         derived[name] = F.lit(UNKNOWN)
     for name in ("drug_count", "reaction_count"):
         derived[name] = F.lit(1 if has_patient else 0)
-    derived["outcome_severity"] = risk.severity_count(
-        [number(reports, c) for c in has_any(reports, K.CLEANER_SEVERITY_FLAGS)]
-    )
+    derived["outcome_severity"] = risk.severity_count([F.col(f"_n_{c}") for c in flags])
     derived["reporting_lag_days"] = (
         dates.lag_days(F.col("receivedate_clean"), F.col("receiptdate_clean"))
-        if {"receivedate", "receiptdate"} <= set(reports.columns) else F.lit(0)
+        if {"receivedate", "receiptdate"} <= have else F.lit(0)
     )
     return keep_existing(out.withColumns(derived), K.CLEAN_ESSENTIAL, K.CLEAN_OPTIONAL)
 
@@ -59,13 +59,13 @@ def cleaner_domains(cleaned_with_patient: bool) -> dict[str, list[str]]:
 
 def features_v1(cleaned: DataFrame, with_patient: bool) -> DataFrame:
     """Feature table of the cleaner: one-hot groups, risk scores, report month and year, no missing values."""
-    received = dates.report_day("receivedate")
-    scored = cleaned.withColumns({
+    received = F.col("_received")
+    scored = cleaned.withColumn("_received", dates.report_day("receivedate")).withColumns({
         "patient_risk_score": risk.patient_risk_from_groups(F.col("age_group"), F.col("outcome_severity")),
         "drug_risk_score": risk.drug_risk_from_count(F.col("drug_count")),
         "report_month": dates.report_month(received),
         "report_year": dates.report_year(received),
-    })
+    }).drop("_received")
     for feature, domain in cleaner_domains(with_patient).items():
         scored = one_hot(scored, feature, domain)
     scores = ["patient_risk_score", "drug_risk_score", "report_month", "report_year"]

@@ -40,6 +40,14 @@ def number(df: DataFrame, name: str) -> Column:
     return to_number(named(name))
 
 
+def with_numbers(df: DataFrame, names: Iterable[str], prefix: str = "_n_") -> DataFrame:
+    """Add the named columns' values as doubles, ``<prefix><name>``; names the input lacks are skipped.
+
+    As columns of their own the values are read once per row, however often later expressions use them.
+    """
+    return df.withColumns({prefix + name: number(df, name) for name in dict.fromkeys(has_any(df, names))})
+
+
 def is_missing(df: DataFrame, name: str) -> Column:
     """True for null, and for NaN in floating-point columns."""
     if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):

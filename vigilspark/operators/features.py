@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import bands, dates, risk
 from ..functions.coerce import is_serious_text
-from .columns import columns_naming, fill_zero, named, number
+from .columns import columns_naming, fill_zero, named, number, with_numbers
 from .encoding import top_n_codes
 
 
@@ -55,20 +55,27 @@ def features_v2(
     ``reaction_count``.
     """
     have = set(reports.columns)
+    severity = columns_naming(reports, K.TRAINING_SEVERITY_TERMS)
+    tallied = ["drug_count", "reaction_count"] if counts == "given" else []
+    rows = with_numbers(reports, ["serious", columns.age, columns.weight, *tallied, *severity])
 
-    def or_null(name: str, kind: str = "string") -> Column:
-        return named(name) if name in have else F.lit(None).cast(kind)
+    def or_null(name: str) -> Column:
+        return named(name) if name in have else F.lit(None).cast("string")
 
     def number_or_null(name: str) -> Column:
-        return number(reports, name) if name in have else F.lit(None).cast("double")
+        return named(f"_n_{name}") if name in have else F.lit(None).cast("double")
 
     id_column = next((c for c in ("safetyreportid", "safetyreportversion") if c in have), None)
-    received = dates.report_day(or_null("receivedate"))
-    receipt = dates.report_day(or_null("receiptdate"))
     fixed = calendar == "fixed"
+    if not fixed:
+        rows = rows.withColumns({
+            "_received": dates.report_day(or_null("receivedate")),
+            "_receipt": dates.report_day(or_null("receiptdate")),
+        })
+    received, receipt = F.col("_received"), F.col("_receipt")
     tallies = (
         column_counts(reports) if counts == "columns"
-        else {c: F.coalesce(number_or_null(c).cast("int"), F.lit(1)) for c in ("drug_count", "reaction_count")}
+        else {c: F.coalesce(number_or_null(c).cast("int"), F.lit(1)) for c in tallied}
     )
     sizes = {
         "occurcountry": K.TOP_COUNTRIES,
@@ -78,7 +85,7 @@ def features_v2(
     }
     codes = top_n_codes(reports, {c: n for c, n in sizes.items() if c in have}) if have & set(sizes) else {}
 
-    base = reports.select(
+    base = rows.select(
         (named(id_column) if id_column else F.lit("")).alias("safetyreportid"),
         (is_serious_text("serious") if "serious" in have else F.lit(0)).alias("is_serious"),
         number_or_null("serious").alias("serious"),
@@ -91,7 +98,7 @@ def features_v2(
         bands.age_group_code(number_or_null(columns.age)).alias("age_group"),
         tallies["drug_count"].alias("drug_count"),
         tallies["reaction_count"].alias("reaction_count"),
-        training_severity(reports).alias("outcome_severity"),
+        risk.severity_sum([named(f"_n_{n}") for n in severity]).alias("outcome_severity"),
         *[
             codes.get(source, F.lit(0)).alias(target)
             for source, target in zip(

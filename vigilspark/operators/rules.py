@@ -10,28 +10,20 @@ from ..functions import rules
 from ..functions.coerce import equals_one
 from .columns import named, number
 
-EVENT_FIELDS = "event"
+# Number an absent or missing value stands for.
+_DEFAULTS = {"patient_age": 0.0, "drug_count": 1.0, "reaction_count": 1.0, "outcome_severity": 0.0}
 
 
-def _number_or(events: DataFrame, name: str, default: float) -> Column:
-    if name not in events.columns:
-        return F.lit(default)
-    return F.coalesce(number(events, name), F.lit(default))
-
-
-def event_rules(events: DataFrame):
-    """The rule set bound to the event's columns; absent and missing values take their defaults."""
-    flags = {
-        column: equals_one(number(events, column)) if column in events.columns else F.lit(0)
+def _with_rule_inputs(events: DataFrame) -> DataFrame:
+    """Add the numbers the rules read as ``_r_`` columns; absent and missing values take their defaults."""
+    have = set(events.columns)
+    inputs = {
+        f"_r_{column}": equals_one(number(events, column)) if column in have else F.lit(0)
         for column, _, _ in K.RULE_FLAGS
     }
-    return rules.rule_terms(
-        flags,
-        _number_or(events, "patient_age", 0.0),
-        _number_or(events, "drug_count", 1.0),
-        _number_or(events, "reaction_count", 1.0),
-        _number_or(events, "outcome_severity", 0.0),
-    )
+    for name, default in _DEFAULTS.items():
+        inputs[f"_r_{name}"] = F.coalesce(number(events, name), F.lit(default)) if name in have else F.lit(default)
+    return events.withColumns(inputs)
 
 
 def stable_event_id(events: DataFrame) -> Column:
@@ -42,11 +34,14 @@ def stable_event_id(events: DataFrame) -> Column:
 
 def assess(events: DataFrame) -> DataFrame:
     """Add score, level, prediction, factor list and rule version to every event."""
-    rule_set = event_rules(events)
-    scored = events.withColumns({
+    rule_set = rules.rule_terms(
+        {column: F.col(f"_r_{column}") for column, _, _ in K.RULE_FLAGS}, *[F.col(f"_r_{n}") for n in _DEFAULTS]
+    )
+    prepared = _with_rule_inputs(events)
+    scored = prepared.withColumns({
         "risk_score": rules.risk_score(rule_set),
         "risk_factors": rules.risk_factors(rule_set),
-    })
+    }).drop(*[c for c in prepared.columns if c.startswith("_r_")])
     return scored.withColumns({
         "alert_level": rules.risk_level(F.col("risk_score")),
         "prediction": rules.risk_prediction(F.col("risk_score")),

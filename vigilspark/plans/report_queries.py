@@ -213,19 +213,22 @@ def clean_dates(t: Tables) -> DataFrame:
 
 @query("age_group_v1", _reports(f"SELECT safetyreportid, {O.AGE_LABEL} AS age_group FROM reports"))
 def age_group_v1(t: Tables) -> DataFrame:
-    return t.reports.select(ID, bands.age_group_label("patientonsetage").alias("age_group"))
+    rows = columns.with_numbers(t.reports, ["patientonsetage"])
+    return rows.select(ID, bands.age_group_label(F.col("_n_patientonsetage")).alias("age_group"))
 
 
 @query("age_group_v2", _reports(
     f"SELECT safetyreportid, {O.coded('patientonsetage', 18, 40, 65)} AS age_group FROM reports"))
 def age_group_v2(t: Tables) -> DataFrame:
-    return t.reports.select(ID, bands.age_group_code(to_number("patientonsetage")).alias("age_group"))
+    rows = columns.with_numbers(t.reports, ["patientonsetage"])
+    return rows.select(ID, bands.age_group_code(F.col("_n_patientonsetage")).alias("age_group"))
 
 
 @query("weight_group_v2", _reports(
     f"SELECT safetyreportid, {O.coded('patientweight', 50, 70, 90)} AS weight_group FROM reports"))
 def weight_group_v2(t: Tables) -> DataFrame:
-    return t.reports.select(ID, bands.weight_group_code(to_number("patientweight")).alias("weight_group"))
+    rows = columns.with_numbers(t.reports, ["patientweight"])
+    return rows.select(ID, bands.weight_group_code(F.col("_n_patientweight")).alias("weight_group"))
 
 
 @query("severity_v1", O.using("clean", body="SELECT safetyreportid, outcome_severity FROM clean"))
@@ -274,9 +277,10 @@ def drug_risk_v1(t: Tables) -> DataFrame:
 @query("patient_risk_v2", O.using("training", body=
        "SELECT safetyreportid, round(patient_risk_score, 6) AS patient_risk_score FROM training"))
 def patient_risk_v2(t: Tables) -> DataFrame:
-    age = bands.age_group_code(to_number("patientonsetage"))
-    return t.reports.select(
-        ID, F.round(risk.patient_risk_from_codes(age, F.col("reaction_count")), 6).alias("patient_risk_score"))
+    rows = columns.with_numbers(t.reports, ["patientonsetage"]).withColumn(
+        "age_group", bands.age_group_code(F.col("_n_patientonsetage")))
+    return rows.select(
+        ID, F.round(risk.patient_risk_from_codes(F.col("age_group"), F.col("reaction_count")), 6).alias("patient_risk_score"))
 
 
 @query("drug_risk_v2", O.using("training", body=
@@ -399,7 +403,8 @@ def score_features(t: Tables) -> DataFrame:
 SELECT safetyreportid, age_group_adult, age_group_child, age_group_middle_age, age_group_senior,
   age_group_young_adult, age_group_nan FROM features_v1"""))
 def one_hot_age_group(t: Tables) -> DataFrame:
-    labelled = t.reports.select(ID, bands.age_group_label("patientonsetage").alias("age_group"))
+    rows = columns.with_numbers(t.reports, ["patientonsetage"])
+    labelled = rows.select(ID, bands.age_group_label(F.col("_n_patientonsetage")).alias("age_group"))
     return encoding.one_hot(labelled, "age_group", features.K.CLEANER_AGE_LABELS)
 
 
