@@ -6,31 +6,26 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import constants as K
 
-_BAD = "_bad_record"
+SEPARATOR = "$"
 
 
 def read_text_table(spark: SparkSession, path: str | list[str], columns: Sequence[str]) -> DataFrame:
-    """Rows of a '$'-delimited file with a header.
+    """Rows of '$'-delimited UTF-8 files whose first line is the header.
 
-    Rows with too many fields are skipped; short rows are kept and padded with nulls. The CSV reader reports
-    both kinds as malformed, so the number of delimiters in the raw row tells them apart.
+    Rows with too many fields are skipped; short rows are kept and padded with nulls. Spark's CSV reader
+    drops or keeps both kinds alike, and judges a row by the columns a query happens to use, so the delimiters
+    of each line are counted before the line is parsed.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, _BAD)])
-    rows = (
-        spark.read.schema(schema)
-        .options(sep="$", header=True, encoding="UTF-8", mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD,
-                 enforceSchema=True, pathGlobFilter="*")
-        .csv(path)
-    )
+    lines = spark.read.text(path).where((F.col("value") != SEPARATOR.join(columns)) & (F.col("value") != ""))
     # Quoted fields may hold a delimiter, so they are blanked before counting.
-    bare = F.regexp_replace(F.col(_BAD), '"[^"]*"', "")
-    delimiters = F.length(bare) - F.length(F.replace(bare, F.lit("$"), F.lit("")))
-    fits = F.col(_BAD).isNull() | (delimiters <= len(columns) - 1)
-    return rows.where(fits).drop(_BAD)
+    bare = F.when(F.contains("value", F.lit('"')), F.regexp_replace("value", '"[^"]*"', "")).otherwise(F.col("value"))
+    delimiters = F.length(bare) - F.length(F.replace(bare, F.lit(SEPARATOR), F.lit("")))
+    schema = ", ".join(f"`{c}` string" for c in columns)
+    fitting = lines.where(delimiters <= len(columns) - 1)
+    return fitting.select(F.from_csv("value", schema, {"sep": SEPARATOR, "mode": "PERMISSIVE"}).alias("row")).select("row.*")
 
 
 def members(spark: SparkSession, root: str, prefixes: Sequence[str] = K.FAERS_DEFAULT_TABLES) -> DataFrame:
