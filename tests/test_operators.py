@@ -51,6 +51,8 @@ def test_windows_and_fallback(spark):
 def test_balanced_sample(spark):
     rows = [(f"{i:03d}", f"2024{1 + i % 12:02d}15", "1" if i % 3 else "2") for i in range(120)]
     got = filters.balanced_sample(reports(spark, rows), 30, 500).collect()
+    ranged = filters.balanced_sample(reports(spark, rows).repartition(4), 30, 500, bound=10).collect()
+    assert sorted(map(tuple, ranged)) == sorted(map(tuple, got))
     want = []
     for code, n in (("1", 30), ("2", 500)):
         block = [r for r in rows if r[2] == code]
@@ -144,6 +146,8 @@ def test_insert_ignore_with_a_hot_key(spark):
     have = {k for k, _ in stored}
     want = [r for k, r in first.items() if k not in have] + [r for r in batch if r[0] is None]
     assert sorted((tuple(r) for r in out.collect()), key=repr) == sorted(want, key=repr)
+    shuffled = store.insert_ignore(new, spark.createDataFrame(stored, "event_id string, v string"), "created_at", max_keys=10)
+    assert sorted(map(repr, shuffled.collect())) == sorted(map(repr, out.collect()))
 
 
 def test_store_tables(spark, tmp_path):
@@ -163,6 +167,12 @@ def test_store_tables(spark, tmp_path):
     store.append_batch(store.conform(alerts, "safety_alerts", now), root, "safety_alerts", 0)
     assert store.read_table(spark, root, "safety_alerts").first().is_reviewed is False
     assert store.read_table(spark, root, "system_metrics").count() == 0
+    dashboard = store.recent_alerts(
+        store.read_table(spark, root, "safety_alerts"), store.read_table(spark, root, "adverse_events"), as_of=now)
+    assert [(r.event_id, r.safetyreportid, r.created_day) for r in dashboard.collect()] == [
+        ("e1", None, datetime.date(2024, 5, 1))]
+    scan = dashboard._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(created_day" in scan
 
 
 def test_recent_alerts_and_stats(spark):

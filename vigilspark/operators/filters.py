@@ -9,8 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..session import ensure_checkpoint_dir
 from .columns import named
 
+# Rows a top-n may merge in one task.
+TOP_ROWS = 100_000
+
 
 def window_bounds(start: str | None, end: str | None) -> tuple[str, str]:
     """Both bounds as given, or the default window when either is missing."""
@@ -70,28 +74,46 @@ def fetch_reports(
     return limit_reports(matching, limit).unionByName(limit_reports(fallback, limit, K.REPORT_FALLBACK_CAP))
 
 
+def first_rows(df: DataFrame, order: list[Column], n: int, bound: int = TOP_ROWS) -> DataFrame:
+    """The first n rows in the given total order.
+
+    Up to ``bound`` rows this is a plain top-n, whose final merge is one task. Beyond it the rows are range
+    partitioned by the order and stored; whole ranges are taken until the one in which n is reached, and only
+    that range is cut.
+    """
+    if n <= bound:
+        return df.orderBy(*order).limit(n)
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).checkpoint()
+    taken, cut, left = 0, None, 0
+    for row in ranged.groupBy("_range").count().orderBy("_range").toLocalIterator():  # one row per range
+        if taken + row["count"] > n:
+            cut, left = row["_range"], n - taken
+            break
+        taken += row["count"]
+    if cut is None:
+        return ranged.drop("_range")
+    whole = ranged.where(F.col("_range") < cut)
+    return whole.unionByName(ranged.where(F.col("_range") == cut).orderBy(*order).limit(left)).drop("_range")
+
+
 def balanced_sample(
     reports: DataFrame,
     n_serious: int,
     n_non_serious: int,
     start: str | None = None,
     end: str | None = None,
+    bound: int = TOP_ROWS,
 ) -> DataFrame:
-    """Up to the given number of reports per class, reports in the window first, then any date.
-
-    Each class is a bounded top-n: tasks keep n rows each and only those are merged.
-    """
+    """Up to the given number of reports per class, reports in the window first, then any date."""
+    order = [
+        F.coalesce(in_receive_window(start, end), F.lit(False)).desc(),
+        F.col("receivedate").asc_nulls_last(),
+        F.col("safetyreportid").asc(),
+    ]
 
     def block(serious: bool, n: int) -> DataFrame:
-        return (
-            filter_serious(reports, serious)
-            .orderBy(
-                F.coalesce(in_receive_window(start, end), F.lit(False)).desc(),
-                F.col("receivedate").asc_nulls_last(),
-                "safetyreportid",
-            )
-            .limit(n)
-        )
+        return first_rows(filter_serious(reports, serious), order, n, bound)
 
     return block(True, n_serious).unionByName(block(False, n_non_serious))
 

@@ -1,7 +1,8 @@
 """Event and alert tables: creation, keyed appends, integrity checks and the dashboard queries.
 
 A store is a folder of Parquet tables. Every append writes its own ``ingest_batch=<id>`` folder and replaces
-that folder when the same batch is written again, so a retried or replayed batch leaves one copy.
+that folder when the same batch is written again, so a retried or replayed batch leaves one copy. Events and
+alerts are further divided by day of creation, so that the dashboard queries read only the days they ask for.
 """
 
 from __future__ import annotations
@@ -17,17 +18,29 @@ from ..schemas import STORE_TABLES
 from .columns import named
 
 BATCH = "ingest_batch"
+DAY = "created_day"
+DAILY = ("adverse_events", "safety_alerts")
+
+# Keys a broadcast may carry, counted before every use; larger sides are joined by shuffling.
+BROADCAST_KEYS = 1_000_000
+
+
+def _layout(name: str) -> list[T.StructField]:
+    day = [T.StructField(DAY, T.DateType())] if name in DAILY else []
+    return [T.StructField(BATCH, T.StringType()), *day]
 
 
 def create_tables(spark: SparkSession, root: str) -> None:
     """Create the four tables where they do not exist yet."""
     for name, schema in STORE_TABLES.items():
-        empty = spark.createDataFrame([], T.StructType(schema.fields + [T.StructField(BATCH, T.StringType())]))
-        empty.write.mode("ignore").partitionBy(BATCH).parquet(f"{root}/{name}")
+        empty = spark.createDataFrame([], T.StructType(schema.fields + _layout(name)))
+        folders = [f.name for f in _layout(name)]
+        empty.write.mode("ignore").partitionBy(*folders).parquet(f"{root}/{name}")
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    schema = T.StructType(STORE_TABLES[name].fields + [T.StructField(BATCH, T.StringType())])
+    """A table with its declared columns, its batch and, where it has one, its day of creation."""
+    schema = T.StructType(STORE_TABLES[name].fields + _layout(name))
     return spark.read.schema(schema).parquet(f"{root}/{name}")
 
 
@@ -54,7 +67,21 @@ def conform(rows: DataFrame, name: str, now: Column | None = None) -> DataFrame:
 
 def append_batch(rows: DataFrame, root: str, name: str, batch_id: str | int) -> None:
     """Append rows as one batch; writing the same batch id again replaces it."""
-    rows.write.mode("overwrite").parquet(f"{root}/{name}/{BATCH}={batch_id}")
+    target = f"{root}/{name}/{BATCH}={batch_id}"
+    if name in DAILY:
+        rows.withColumn(DAY, F.to_date("created_at")).write.mode("overwrite").partitionBy(DAY).parquet(target)
+    else:
+        rows.write.mode("overwrite").parquet(target)
+
+
+def rows_with_keys_of(big: DataFrame, small: DataFrame, key: str, max_keys: int = BROADCAST_KEYS) -> DataFrame:
+    """The big side's rows whose key occurs on the small side.
+
+    The small side's distinct keys are counted first: up to ``max_keys`` they are broadcast and the big side is
+    scanned without a shuffle; beyond that both sides are shuffled by key.
+    """
+    keys = small.select(key).distinct()
+    return big.join(F.broadcast(keys) if keys.count() <= max_keys else keys, key, "left_semi")
 
 
 def first_per_key(rows: DataFrame, key: str, order: str) -> DataFrame:
@@ -67,16 +94,17 @@ def first_per_key(rows: DataFrame, key: str, order: str) -> DataFrame:
     return picked.select(key, "row.*").select(*[named(c) for c in rows.columns])
 
 
-def insert_ignore(batch: DataFrame, stored: DataFrame, order: str, key: str = "event_id") -> DataFrame:
+def insert_ignore(
+    batch: DataFrame, stored: DataFrame, order: str, key: str = "event_id", max_keys: int = BROADCAST_KEYS
+) -> DataFrame:
     """The batch's rows to append: first row per key, and only keys the store lacks. Null keys never clash.
 
-    The store side is narrowed to the batch's keys by a semi join before the anti join. With a small batch
-    Spark broadcasts the batch's keys and the store is only scanned for one column, never shuffled; with a
-    large one both sides are shuffled by key, each key once.
+    The store is narrowed to the batch's keys before the anti join, so that a small batch costs one scan of
+    the store's key column and no shuffle of the store.
     """
-    fresh = first_per_key(batch.where(named(key).isNotNull()), key, order)
-    present = stored.select(key).join(fresh.select(key), key, "left_semi").distinct()
-    accepted = fresh.join(present, key, "left_anti")
+    keyed = batch.where(named(key).isNotNull())
+    present = rows_with_keys_of(stored.select(key), keyed, key, max_keys).distinct()
+    accepted = first_per_key(keyed, key, order).join(present, key, "left_anti")
     return accepted.unionByName(batch.where(named(key).isNull()))
 
 
@@ -105,12 +133,16 @@ def recent_alerts(
 ) -> DataFrame:
     """Alerts of the last hours with report id and receive date of their event, newest first.
 
-    The time and level filters run on the alert scan, before the join.
+    The time and level filters run on the alert scan, and events are narrowed to the alerts' ids before the
+    join, so the event table is not shuffled for a day's worth of alerts.
     """
-    recent = alerts.where(F.col("created_at") >= _since(as_of, hours))
+    since = _since(as_of, hours)
+    recent = alerts.where(F.col("created_at") >= since)
+    if DAY in alerts.columns:  # a day of margin, as the writer's session zone may differ
+        recent = recent.where(F.col(DAY) >= F.date_sub(F.to_date(since), 1))
     if alert_level is not None:
         recent = recent.where(F.col("alert_level") == alert_level)
-    details = events.select("event_id", "safetyreportid", "receivedate")
+    details = rows_with_keys_of(events.select("event_id", "safetyreportid", "receivedate"), recent, "event_id")
     return (
         recent.join(details, "event_id")
         .select(*alerts.columns, "safetyreportid", "receivedate")

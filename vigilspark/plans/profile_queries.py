@@ -118,8 +118,7 @@ def size_verdict(t: Tables) -> DataFrame:
     return profile.size_verdict(t.reports)
 
 
-@query("insights", O.using("features_v1", body="""
-SELECT CAST(row_number() OVER (ORDER BY k) AS INTEGER) AS insight_no, insight FROM (
+_INSIGHTS_SQL = """SELECT CAST(row_number() OVER (ORDER BY k) AS INTEGER) AS insight_no, insight FROM (
   SELECT 1 AS k, CASE WHEN n < 10 THEN printf('Small sample size (%d records) - suitable for proof-of-concept development', n)
     WHEN n < 100 THEN printf('Medium sample size (%d records) - good for initial model training', n)
     ELSE printf('Large sample size (%d records) - excellent for robust model training', n) END AS insight FROM s
@@ -132,14 +131,49 @@ SELECT CAST(row_number() OVER (ORDER BY k) AS INTEGER) AS insight_no, insight FR
   UNION ALL SELECT 5, 'Rich feature set (28 features) - excellent foundation for ML model performance' FROM s
   UNION ALL SELECT 6, 'Pipeline successfully processes FDA data - ready to scale to larger datasets' FROM s
   UNION ALL SELECT 7, 'Recommend collecting 1000+ records for production-ready ML model training' FROM s
-) f WHERE insight IS NOT NULL""", extra={"s": """
-SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE is_serious = 1) * CAST(100 AS DOUBLE) / COUNT(*) AS rate,
-  max(outcome_severity) AS worst FROM features_v1"""}))
+) f WHERE insight IS NOT NULL"""
+_INSIGHT_STATS_SQL = """
+SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE is_serious = 1) AS serious, COUNT(*) FILTER (WHERE is_serious = 0) AS other,
+  COUNT(*) FILTER (WHERE is_serious = 1) * CAST(100 AS DOUBLE) / COUNT(*) AS rate,
+  max(outcome_severity) AS worst FROM features_v1"""
+
+
+@query("insights", O.using("features_v1", body=_INSIGHTS_SQL, extra={"s": _INSIGHT_STATS_SQL}))
 def insights(t: Tables) -> DataFrame:
     return profile.insights(_features_v1(t))
 
 
-@query("eda_report_lines")
+def _report_sql() -> str:
+    rule, thin = "'" + "=" * 80 + "'", "'" + "-" * 40 + "'"
+    head = [rule, "'CLINICAL TRIAL SAFETY MONITORING - EDA REPORT'", rule, "''", "'DATA OVERVIEW'", thin,
+            "concat('Total Records: ', n)", "'Total Features: 28'", "'Data Quality Score: 100.0/100'",
+            "''", "'TARGET VARIABLE ANALYSIS'", thin, "concat('Total Events: ', n)", "concat('Serious Events: ', serious)",
+            "concat('Non-Serious Events: ', other)", "concat('Serious Event Rate: ', CAST(round_even(rate, 1) AS VARCHAR), '%')",
+            "CASE WHEN abs(serious - other) <= 1 THEN 'Class Balance: Balanced' ELSE 'Class Balance: Imbalanced' END",
+            "''", "'RISK FACTOR ANALYSIS'", thin]
+    risks = []
+    for c in profile.RISK_FEATURES:
+        title = c.replace("_", " ").title()
+        number = f"CAST(round_even(CAST({{}}({c}) AS DOUBLE), 3) AS VARCHAR)"
+        risks += [f"'{title}:'", "concat('  Mean: ', " + number.format("avg") + ")",
+                  "concat('  Range: ', " + number.format("min") + ", ' - ', " + number.format("max") + ")",
+                  f"concat('  Non-zero: ', COUNT(*) FILTER (WHERE {c} > 0), ' records')"]
+    middle = ["''", "'BUSINESS INSIGHTS'", thin]
+    foot = ["''", rule, "'READY FOR MACHINE LEARNING MODEL DEVELOPMENT'", rule]
+    rows = [f"SELECT {i} AS k, {e} AS line FROM s" for i, e in enumerate(head)]
+    rows += [f"SELECT {100 + i}, {e} FROM features_v1" for i, e in enumerate(risks)]
+    rows += [f"SELECT {200 + i}, {e} FROM s" for i, e in enumerate(middle)]
+    rows += ["SELECT 300 + insight_no, concat(insight_no, '. ', insight) FROM ins"]
+    rows += [f"SELECT {400 + i}, {e} FROM s" for i, e in enumerate(foot)]
+    return O.using(
+        "features_v1",
+        body="SELECT CAST(row_number() OVER (ORDER BY k) AS INTEGER) AS line_no, line FROM ("
+             + " UNION ALL ".join(rows) + ") r",
+        extra={"s": _INSIGHT_STATS_SQL, "ins": _INSIGHTS_SQL},
+    )
+
+
+@query("eda_report_lines", _report_sql())
 def eda_report_lines(t: Tables) -> DataFrame:
     return profile.report_lines(_features_v1(t))
 
@@ -386,12 +420,29 @@ def bulk_insert_ignore(t: Tables) -> DataFrame:
     store.append_batch(store.conform(t.event_store.where(number % 3 == 0), name), root, name, 0)
     half = store.conform(t.event_store.where(number % 2 == 0), name)
     later = half.withColumns({"serious": F.lit(9), "created_at": F.col("created_at") + F.expr("INTERVAL 1 HOUR")})
-    fresh = store.insert_ignore(half.unionByName(later), store.read_table(t.spark, root, name).drop(store.BATCH), "created_at")
+    fresh = store.insert_ignore(half.unionByName(later), store.read_table(t.spark, root, name), "created_at")
     store.append_batch(fresh, root, name, 1)
     return _stored_events(t, root)
 
 
-@query("create_store_tables")
+_FILLED = {
+    "adverse_events": ("event_store", ["event_id", "safetyreportid", "receivedate", "serious", "created_at", "updated_at"]),
+    "safety_alerts": ("alert_store", ["event_id", "alert_type", "alert_level", "is_reviewed", "created_at"]),
+}
+
+
+def _store_tables_sql() -> str:
+    rows = []
+    for name, schema in STORE_TABLES.items():
+        source, filled = _FILLED.get(name, ("event_store", []))
+        for i, field in enumerate(schema.fields):
+            count = f"(SELECT COUNT(*) FROM {source})" if field.name in filled else "CAST(0 AS BIGINT)"
+            rows.append(f"SELECT '{name}' AS table_name, {i} AS position, '{field.name}' AS column_name, "
+                        f"'{field.dataType.simpleString()}' AS type, {count} AS filled")
+    return O.using("event_store", "alert_store", body=" UNION ALL ".join(rows))
+
+
+@query("create_store_tables", _store_tables_sql())
 def create_store_tables(t: Tables) -> DataFrame:
     """One row per table and column, with how many of the stored rows fill it."""
     root = _store_root(t)

@@ -408,7 +408,9 @@ def one_hot_age_group(t: Tables) -> DataFrame:
     return encoding.one_hot(labelled, "age_group", features.K.CLEANER_AGE_LABELS)
 
 
-@query("one_hot_country")
+@query("one_hot_country", _reports("SELECT safetyreportid, " + ", ".join(
+    f"COALESCE(occurcountry = 'NATION_{i}', FALSE) AS \"occurcountry_NATION_{i}\"" for i in range(25))
+    + ", occurcountry IS NULL AS occurcountry_nan FROM reports"))
 def one_hot_country(t: Tables) -> DataFrame:
     """Open domain: the column names come from the data."""
     return encoding.one_hot(t.reports.select(ID, "occurcountry"), "occurcountry")

@@ -16,10 +16,10 @@ from ..sources import external, faers, landing
 from ..streaming import events as E
 from ..streaming import jobs
 from . import oracle as O
-from .profile_queries import _ALERT_ROW, _ALERT_ROW_SQL, _MINUTE_SQL
+from .profile_queries import _ALERT_ROW, _ALERT_ROW_SQL, _MESSAGE_SQL, _MINUTE_SQL
 from .registry import query
 from .report_queries import ID, training_features
-from .tables import EVENT_FIELDS, EVENT_STORE, RULE_EVENTS, Tables
+from .tables import EVENT_FIELDS, EVENT_STORE, RULE_EVENTS, SCORED_EVENTS, Tables
 
 
 # Landed files
@@ -72,7 +72,10 @@ def read_faers_text(t: Tables) -> DataFrame:
     return faers.read_text_table(t.spark, path, _DEMO)
 
 
-@query("faers_members")
+@query("faers_members", """
+SELECT archive, prefix, member, quarter, concat(lower(prefix), '_', archive, '.txt') AS standard_name FROM (VALUES
+  ('faers_ascii_2024q1', 'DEMO', 'DEMO24Q1.txt', '2024q1'), ('faers_ascii_2024q1', 'OUTC', 'OUTC24Q1.txt', '2024q1'),
+  ('faers_ascii_2024q2', 'DEMO', 'demo24q2.txt', '2024q2')) m(archive, prefix, member, quarter)""")
 def faers_members(t: Tables) -> DataFrame:
     root = scratch_dir(t.spark, "faers-archives")
     demo = _demo_lines(t)
@@ -189,6 +192,22 @@ def stream_write_alerts(t: Tables) -> DataFrame:
     return jobs.drained(messages, "stream-alert-messages")
 
 
+@query("stream_given_alerts", O.using("scored_events", body=f"""
+SELECT concat('ALERT_', event_id) AS alert_id, CAST(outcome_severity AS DOUBLE) AS outcome_severity, drug_count,
+  patient_risk_score, 'UNKNOWN' AS source, 1 AS predicted_serious, confidence_serious,
+  {O.yes('GREATEST(confidence_serious, CAST(1 AS DOUBLE) - confidence_serious) > CAST(0.8 AS DOUBLE)')} AS high_confidence,
+  CASE WHEN confidence_serious > CAST(0.9 AS DOUBLE) THEN 'HIGH' ELSE 'MEDIUM' END AS alert_level,
+  {O.yes('confidence_serious > CAST(0.8 AS DOUBLE)')} AS requires_review, {_MESSAGE_SQL} AS alert_message
+FROM scored_events WHERE prediction = 1"""))
+def stream_given_alerts(t: Tables) -> DataFrame:
+    """Nested alerts of a stream whose probabilities are given."""
+    alerts = jobs.drained(E.model_alerts(_stream_input(t, SCORED_EVENTS)), "stream-given-alerts")
+    return alerts.select(
+        "alert_id", "original_event.outcome_severity", "original_event.drug_count", "original_event.patient_risk_score",
+        "original_event.source", "ml_prediction.predicted_serious", "ml_prediction.confidence_serious",
+        "ml_prediction.high_confidence", "alert_level", "requires_review", "alert_message")
+
+
 @query("stream_dedupe", O.using("event_store", body="SELECT event_id, safetyreportid, serious FROM event_store"))
 def stream_dedupe(t: Tables) -> DataFrame:
     """Every event arrives twice."""

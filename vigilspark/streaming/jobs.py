@@ -85,17 +85,15 @@ def rule_store_writer(root: str, now: Column | None = None) -> Callable[[DataFra
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        assessed = rules.assessed_with_source(batch)
-        stored = {
-            name: store.read_table(spark, root, name).where(named(store.BATCH) != F.lit(str(batch_id)))
-            for name in ("adverse_events", "safety_alerts")
-        }
+        assessed = rules.assessed_with_source(batch).persist()
         for name, rows in (
             ("adverse_events", rules.rule_event_rows(assessed, now)),
             ("safety_alerts", rules.rule_alerts(assessed, now)),
         ):
-            fresh = store.insert_ignore(store.conform(rows, name, now), stored[name], order="created_at")
+            earlier = store.read_table(spark, root, name).where(named(store.BATCH) != F.lit(str(batch_id)))
+            fresh = store.insert_ignore(store.conform(rows, name, now), earlier, order="created_at")
             store.append_batch(fresh, root, name, batch_id)
+        assessed.unpersist()
 
     return write
 
