@@ -161,7 +161,7 @@ def _report_sql() -> str:
     middle = ["''", "'BUSINESS INSIGHTS'", thin]
     foot = ["''", rule, "'READY FOR MACHINE LEARNING MODEL DEVELOPMENT'", rule]
     rows = [f"SELECT {i} AS k, {e} AS line FROM s" for i, e in enumerate(head)]
-    rows += [f"SELECT {100 + i}, {e} FROM features_v1" for i, e in enumerate(risks)]
+    rows += [f"SELECT {100 + i}, {e} FROM {'features_v1' if '(' in e else 's'}" for i, e in enumerate(risks)]
     rows += [f"SELECT {200 + i}, {e} FROM s" for i, e in enumerate(middle)]
     rows += ["SELECT 300 + insight_no, concat(insight_no, '. ', insight) FROM ins"]
     rows += [f"SELECT {400 + i}, {e} FROM s" for i, e in enumerate(foot)]
