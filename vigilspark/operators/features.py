@@ -14,6 +14,7 @@ from ..functions import bands, dates, risk
 from ..functions.coerce import is_serious_text
 from .columns import columns_naming, fill_zero, named, number, with_numbers
 from .encoding import top_n_codes
+from .nested import flatten_first
 
 
 @dataclass(frozen=True)
@@ -118,6 +119,24 @@ def features_v2(
     return fill_zero(scored.select(*order), skip=["safetyreportid", "receivedate", "transmissiondate"])
 
 
+NESTED_COLUMNS = TrainingColumns(
+    weight="patient_patientweight", age="patient_patientonsetage", drug="first_product", reaction="first_term"
+)
+
+
+def training_table(reports: DataFrame, calendar: str = "actual") -> DataFrame:
+    """The training table straight from nested reports: first drug and reaction, and true counts of both."""
+    patient = named("patient")
+    drugs, reactions = patient["drug"], patient["reaction"]
+    flat = flatten_first(reports.withColumns({
+        "first_product": F.get(drugs, 0)["medicinalproduct"],
+        "first_term": F.get(reactions, 0)["reactionmeddrapt"],
+        "drug_count": F.coalesce(F.array_size(drugs), F.lit(0)),
+        "reaction_count": F.coalesce(F.array_size(reactions), F.lit(0)),
+    }))
+    return features_v2(flat, NESTED_COLUMNS, calendar, counts="given")
+
+
 def bin_violations(reports: DataFrame, columns: TrainingColumns = TrainingColumns()) -> DataFrame:
     """How many ages and weights lie below the lowest band edge and so get no code."""
     low = K.TRAINING_AGE_EDGES[0]

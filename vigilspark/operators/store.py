@@ -30,10 +30,10 @@ def _layout(name: str) -> list[T.StructField]:
     return [T.StructField(BATCH, T.StringType()), *day]
 
 
-def create_tables(spark: SparkSession, root: str) -> None:
-    """Create the four tables where they do not exist yet."""
-    for name, schema in STORE_TABLES.items():
-        empty = spark.createDataFrame([], T.StructType(schema.fields + _layout(name)))
+def create_tables(spark: SparkSession, root: str, names: Sequence[str] = tuple(STORE_TABLES)) -> None:
+    """Create the tables, all four unless told otherwise, where they do not exist yet."""
+    for name in names:
+        empty = spark.createDataFrame([], T.StructType(STORE_TABLES[name].fields + _layout(name)))
         folders = [f.name for f in _layout(name)]
         empty.write.mode("ignore").partitionBy(*folders).parquet(f"{root}/{name}")
 
@@ -66,10 +66,15 @@ def conform(rows: DataFrame, name: str, now: Column | None = None) -> DataFrame:
 
 
 def append_batch(rows: DataFrame, root: str, name: str, batch_id: str | int) -> None:
-    """Append rows as one batch; writing the same batch id again replaces it."""
+    """Append rows as one batch; writing the same batch id again replaces it.
+
+    Daily tables are rebalanced by day first: a day's rows then lie in few files, and adaptive execution
+    splits a day that holds more than its share over several tasks.
+    """
     target = f"{root}/{name}/{BATCH}={batch_id}"
     if name in DAILY:
-        rows.withColumn(DAY, F.to_date("created_at")).write.mode("overwrite").partitionBy(DAY).parquet(target)
+        daily = rows.withColumn(DAY, F.to_date("created_at")).hint("rebalance", DAY)
+        daily.write.mode("overwrite").partitionBy(DAY).parquet(target)
     else:
         rows.write.mode("overwrite").parquet(target)
 

@@ -102,6 +102,11 @@ SELECT safetyreportid, {yes("serious = '1'")} AS is_serious, COALESCE({number('s
 FROM reports {joins}"""
 
 
+def _listed(first: str, second: str) -> str:
+    """Length of the list of a first and a last name."""
+    return f"(CASE WHEN {first} IS NULL THEN 0 WHEN {first} = {second} THEN 1 ELSE 2 END)"
+
+
 # Columns of the flattened input whose names contain 'drug' or 'reaction'.
 _COUNTED_DRUGS = yes("drug_count IS NOT NULL")
 _COUNTED_REACTIONS = f"({yes('reaction_count IS NOT NULL')}) + ({yes('reactionmeddrapt IS NOT NULL')})"
@@ -184,6 +189,11 @@ STEPS: dict[str, tuple[list[str], str]] = {
         LAG, f"CAST(COALESCE(month({day('receivedate')}), 0) AS INTEGER)",
         f"CAST(COALESCE(year({day('receivedate')}), 0) AS INTEGER)", "drug_count", "reaction_count",
     )),
+    "training_nested": (["reports"], _features_v2(
+        LAG, f"CAST(COALESCE(month({day('receivedate')}), 0) AS INTEGER)",
+        f"CAST(COALESCE(year({day('receivedate')}), 0) AS INTEGER)",
+        _listed("medicinalproduct", "secondproduct"), _listed("reactionmeddrapt", "secondreaction"),
+    )),
     "rule_input": (["reports"], _RULE_REPORTS),
     "ruled": (["rule_input"], _rule_score("rule_input")),
     "rule_event_input": (["rule_events"], _RULE_EVENT_INPUT),

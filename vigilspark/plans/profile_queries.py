@@ -377,9 +377,9 @@ def system_stats(t: Tables) -> DataFrame:
     return store.system_stats(t.event_store, t.alert_store, as_of=_latest(t.event_store))
 
 
-def _store_root(t: Tables) -> str:
+def _store_root(t: Tables, *names: str) -> str:
     root = scratch_dir(t.spark, "store")
-    store.create_tables(t.spark, root)
+    store.create_tables(t.spark, root, names or tuple(STORE_TABLES))
     return root
 
 
@@ -395,7 +395,7 @@ def _stored_events(t: Tables, root: str) -> DataFrame:
 
 @query("store_events", O.using("event_store", body=_STORED_EVENT_SQL + " FROM event_store"))
 def store_events(t: Tables) -> DataFrame:
-    root = _store_root(t)
+    root = _store_root(t, "adverse_events")
     store.append_batch(store.conform(t.event_store, "adverse_events"), root, "adverse_events", 0)
     return _stored_events(t, root)
 
@@ -403,7 +403,7 @@ def store_events(t: Tables) -> DataFrame:
 @query("store_alerts", O.using("alert_store", body="""
 SELECT event_id, alert_type, alert_level, FALSE AS is_reviewed, created_at FROM alert_store"""))
 def store_alerts(t: Tables) -> DataFrame:
-    root = _store_root(t)
+    root = _store_root(t, "safety_alerts")
     store.append_batch(store.conform(t.alert_store, "safety_alerts"), root, "safety_alerts", 0)
     rows = store.read_table(t.spark, root, "safety_alerts")
     return rows.select(
@@ -415,7 +415,8 @@ def store_alerts(t: Tables) -> DataFrame:
 WHERE CAST(event_id AS BIGINT) % 3 = 0 OR CAST(event_id AS BIGINT) % 2 = 0"""))
 def bulk_insert_ignore(t: Tables) -> DataFrame:
     """The store holds every third event; a batch of every second event, each listed twice, is inserted."""
-    root, name = _store_root(t), "adverse_events"
+    name = "adverse_events"
+    root = _store_root(t, name)
     number = F.col("event_id").cast("bigint")
     store.append_batch(store.conform(t.event_store.where(number % 3 == 0), name), root, name, 0)
     half = store.conform(t.event_store.where(number % 2 == 0), name)

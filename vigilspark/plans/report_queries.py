@@ -374,6 +374,11 @@ def features_v2_actual(t: Tables) -> DataFrame:
     return _round_scores(training_features(t))
 
 
+@query("training_table", O.using("training_nested", body=f"SELECT {_ROUND_SQL} FROM training_nested"))
+def training_table(t: Tables) -> DataFrame:
+    return _round_scores(features.training_table(t.reports_nested))
+
+
 @query("bin_violations", _reports(f"""
 SELECT COUNT(*) FILTER (WHERE {O.number('patientonsetage')} < -1) AS age_below_bands,
   COUNT(*) FILTER (WHERE {O.number('patientweight')} < -1) AS weight_below_bands FROM reports"""))

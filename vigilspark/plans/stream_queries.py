@@ -343,7 +343,7 @@ def record_model_performance(t: Tables) -> DataFrame:
     importance = ml.feature_importance(work.model(ml.RANDOM_FOREST), top=None)
     rows = ml.performance_rows(metrics, importance, F.current_timestamp())
     root = scratch_dir(t.spark, "store")
-    store.create_tables(t.spark, root)
+    store.create_tables(t.spark, root, ["model_performance"])
     store.append_batch(store.conform(rows, "model_performance"), root, "model_performance", 0)
     return store.read_table(t.spark, root, "model_performance")
 

@@ -100,7 +100,7 @@ def rule_store_writer(root: str, now: Column | None = None) -> Callable[[DataFra
 
 def store_rule_alerts(stream: DataFrame, root: str, checkpoint: str, now: Column | None = None) -> StreamingQuery:
     """Score a stream by rules and keep events and alerts in the store."""
-    store.create_tables(stream.sparkSession, root)
+    store.create_tables(stream.sparkSession, root, store.DAILY)
     query = (
         stream.writeStream.foreachBatch(rule_store_writer(root, now)).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
