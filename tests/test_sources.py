@@ -73,6 +73,24 @@ def test_scratch_folder(spark):
     assert session.scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+class _Unset:
+    """A session whose shared folder is not configured."""
+
+    def __init__(self, spark, master):
+        self.conf = self
+        self.sparkContext = type("C", (), {"master": master, "applicationId": spark.sparkContext.applicationId})
+
+    def get(self, key, default=None):
+        return default
+
+
+def test_scratch_folder_when_unset(spark):
+    local = _Unset(spark, "local[4]")
+    assert session.scratch_root(local) == session.scratch_root(local)
+    with pytest.raises(ValueError):
+        session.scratch_root(_Unset(spark, "yarn"))
+
+
 def test_listing_reads_no_contents(spark, tmp_path):
     (tmp_path / "f.bin").write_text("x")
     plan = landing.zone_files(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()

@@ -87,6 +87,8 @@ def test_dedupe_and_minutes(spark, tmp_path):
     rows.unionByName(rows).write.parquet(source)
     stream = E.read_event_files(spark, source, spark.read.parquet(source).schema)
     assert jobs.drained(E.dedupe(stream, "ts", "1 hour").select("event_id"), "dedupe").count() == 500
+    salted = E.dedupe(stream.withColumn("event_id", F.when(F.col("serious") == 1, "hot").otherwise(F.col("event_id"))), "ts", "1 hour", salts=4)
+    assert jobs.drained(salted.select("event_id"), "dedupe-salted").count() == 376
     minutes = jobs.drain_updates(E.windowed_minutes(stream, "ts", "1 minute"), str(tmp_path / "m"), "minute")
     got = minutes.agg(F.sum("events"), F.sum("serious_events"), F.count("minute")).first()
     assert tuple(got) == (1000, 250, 9)

@@ -213,7 +213,7 @@ def stream_dedupe(t: Tables) -> DataFrame:
     """Every event arrives twice."""
     once = _stream_input(t, EVENT_STORE)
     again = _stream_input(t, EVENT_STORE)
-    unique = E.dedupe(once.unionByName(again), "created_at", "1 hour")
+    unique = E.dedupe(once.unionByName(again), "created_at", "1 hour", salts=8)
     return jobs.drained(unique.select("event_id", ID, "serious"), "stream-dedupe")
 
 

@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Temporary folders of local sessions that name no shared one, by application.
+_LOCAL_ROOTS: dict[str, str] = {}
+
 
 def build_session(app_name: str = "vigilspark", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the library is tested under; cluster settings come from spark-submit."""
@@ -34,9 +37,10 @@ def scratch_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="vigilspark-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[application] = tempfile.mkdtemp(prefix="vigilspark-")
+    return _LOCAL_ROOTS[application]
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:

@@ -100,9 +100,18 @@ def model_alerts(scored: DataFrame, stamp: Column | None = None) -> DataFrame:
     )
 
 
-def dedupe(events: DataFrame, ts: str, watermark: str, key: str = "event_id") -> DataFrame:
-    """First arrival per key; the watermark bounds how long keys are remembered."""
-    return events.withWatermark(ts, watermark).dropDuplicatesWithinWatermark([key])
+def dedupe(events: DataFrame, ts: str, watermark: str, key: str = "event_id", salts: int = 1) -> DataFrame:
+    """First arrival per key; the watermark bounds how long keys are remembered.
+
+    With ``salts`` above 1 repeats are first dropped per key and salt, the salt being the input partition, so
+    that a key repeated in much of the stream is spread over that many tasks and only one row of each is left for
+    the last step.
+    """
+    marked = events.withWatermark(ts, watermark)
+    if salts > 1:
+        salted = marked.withColumn("_salt", F.spark_partition_id() % salts)
+        marked = salted.dropDuplicatesWithinWatermark([key, "_salt"]).drop("_salt")
+    return marked.dropDuplicatesWithinWatermark([key])
 
 
 def windowed_minutes(events: DataFrame, ts: str, watermark: str, serious: str = "serious") -> DataFrame:
