@@ -1,7 +1,6 @@
 """Landed pages, delimited text, CSV zones and file listings."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from vigilspark import session
 from vigilspark.sources import faers, landing

@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from ..functions import alerts as alert_functions
 from ..functions import dates
+from ..functions.coerce import is_serious_text
 from ..operators import ml, profile, rules, store
+from ..operators.cleaning import clean_reports
 from ..schemas import STORE_TABLES
 from ..session import scratch_dir
 from ..streaming import events as stream_events
 from . import oracle as O
 from .registry import query
-from .report_queries import ID, _features_v1, _features_v2, training_features
+from .report_queries import ID, _features_v1, training_features
 from .tables import Tables
 
 RAW_COLUMNS = [
@@ -62,8 +64,6 @@ SELECT round_even(avg(reporting_lag_days), 1) AS mean_days,
   COUNT(*) FILTER (WHERE reporting_lag_days <= 1) AS quick_reports,
   COUNT(*) FILTER (WHERE reporting_lag_days > 7) AS delayed_reports FROM clean"""))
 def lag_profile(t: Tables) -> DataFrame:
-    from ..operators.cleaning import clean_reports
-
     return profile.lag_profile(clean_reports(t.reports))
 
 
@@ -319,8 +319,6 @@ FROM (SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE is_serious = p) AS hit,
   COUNT(*) FILTER (WHERE is_serious = 1 AND p = 0) AS fn
   FROM (SELECT is_serious, CASE WHEN risk_score >= CAST(0.5 AS DOUBLE) THEN 1 ELSE 0 END AS p FROM ruled) a) b"""))
 def classification_metrics(t: Tables) -> DataFrame:
-    from ..functions.coerce import is_serious_text
-
     labelled = rules.assess(t.rule_reports).withColumn("is_serious", is_serious_text("serious"))
     return ml.classification_metrics(labelled)
 

@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions import alerts
-from ..functions.coerce import to_number
 from ..operators.columns import evaluated_once, named, number
 from ..schemas import EVENT_MESSAGE
 
