@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, language, pii, simhash, tokenfile
+from . import bpe, decontaminate, language, pii, repeats, simhash, tokenfile
 from .common import read
 
 
@@ -26,9 +26,14 @@ def op7_pii(spark, sf_dir):
     return pii.op7_pii(spark, read(spark, sf_dir, "documents"))
 
 
+def op9_repeats(spark, sf_dir):
+    return repeats.op9_repeats(spark, read(spark, sf_dir, "documents"))
+
+
 def op10_decontaminate(spark, sf_dir):
     return decontaminate.op10_decontaminate(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op3_token_files, op4_bpe, op5_simhash, op6_language, op7_pii, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op3_token_files, op4_bpe, op5_simhash, op6_language, op7_pii, op9_repeats,
+                                     op10_decontaminate)}
 ORACLES: dict[str, str] = {}
