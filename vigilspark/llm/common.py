@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import pathlib
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +17,26 @@ from vigilspark.session import ensure_checkpoint_dir, scratch_dir
 
 # Memory that one Python worker lends to its cache of words.
 CACHE_ENTRIES = 400_000
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, for sessions started without it on their path."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(context.applicationId)
+    package = pathlib.Path(__file__).resolve().parent.parent
+    folder = tempfile.mkdtemp(prefix="package-")  # on the driver, which serves the file to the workers
+    archive = f"{folder}/{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, str(file.relative_to(package.parent)))
+    context.addPyFile(archive)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -54,3 +75,25 @@ def with_columns(df: DataFrame, text: str, fields: list[T.StructField], make: Ca
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=names)
 
     return rest.mapInArrow(run, T.StructType([*rest.schema.fields, *fields]))
+
+
+class Forest:
+    """Connected parts of the numbers 0..n-1."""
+
+    def __init__(self, n: int):
+        self.up = np.arange(n)
+
+    def roots(self) -> np.ndarray:
+        while True:
+            above = self.up[self.up]
+            if np.array_equal(above, self.up):
+                return self.up
+            self.up = above
+
+    def join(self, a: np.ndarray, b: np.ndarray) -> None:
+        while len(a):
+            top = self.roots()
+            x, y = top[a], top[b]
+            apart = x != y
+            a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+            np.minimum.at(self.up, np.maximum(x, y), np.minimum(x, y))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, language, pii, repeats, simhash, tokenfile
+from . import bpe, decontaminate, language, multiindex, pii, repeats, simhash, tokenfile
 from .common import read
 
 
@@ -26,6 +26,10 @@ def op7_pii(spark, sf_dir):
     return pii.op7_pii(spark, read(spark, sf_dir, "documents"))
 
 
+def op8_vectors(spark, sf_dir):
+    return multiindex.op8_vectors(spark, read(spark, sf_dir, "embeddings"))
+
+
 def op9_repeats(spark, sf_dir):
     return repeats.op9_repeats(spark, read(spark, sf_dir, "documents"))
 
@@ -34,6 +38,6 @@ def op10_decontaminate(spark, sf_dir):
     return decontaminate.op10_decontaminate(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op3_token_files, op4_bpe, op5_simhash, op6_language, op7_pii, op9_repeats,
-                                     op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op3_token_files, op4_bpe, op5_simhash, op6_language, op7_pii, op8_vectors,
+                                     op9_repeats, op10_decontaminate)}
 ORACLES: dict[str, str] = {}

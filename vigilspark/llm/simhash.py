@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import kept, settled, with_columns
+from .common import Forest, kept, settled, with_columns
 from .components import components
 
 BITS, SEED = 64, 42
@@ -53,28 +53,6 @@ def with_fingerprint(docs: DataFrame, *, text: str = "text", words_per_shingle:
     return with_columns(docs, text, [T.StructField(name, T.LongType())], make)
 
 
-class _Forest:
-    """Connected parts of the numbers 0..n-1."""
-
-    def __init__(self, n: int):
-        self.up = np.arange(n)
-
-    def roots(self) -> np.ndarray:
-        while True:
-            above = self.up[self.up]
-            if np.array_equal(above, self.up):
-                return self.up
-            self.up = above
-
-    def join(self, a: np.ndarray, b: np.ndarray) -> None:
-        while len(a):
-            top = self.roots()
-            x, y = top[a], top[b]
-            apart = x != y
-            a, b, x, y = a[apart], b[apart], x[apart], y[apart]
-            np.minimum.at(self.up, np.maximum(x, y), np.minimum(x, y))
-
-
 def trie_links(keys: np.ndarray, budget: int, bits: int = BITS, fixed: int = 0) -> np.ndarray:
     """For sorted distinct ``keys``, the index of a representative each is linked to through differences of at most
     ``budget`` bits, none of them among the first ``fixed`` bits.
@@ -85,7 +63,7 @@ def trie_links(keys: np.ndarray, budget: int, bits: int = BITS, fixed: int = 0)
     its pairs, and what is kept is one representative per key.
     """
     n = len(keys)
-    forest = _Forest(n)
+    forest = Forest(n)
     if n < 2:
         return forest.roots()
     zeros = np.zeros((bits, n + 1), np.int64)
