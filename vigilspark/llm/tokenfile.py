@@ -32,6 +32,8 @@ LENGTH = 2048
 BATCH_SEQUENCES = 64
 # Documents of about this many bytes make one shard.
 SHARD_BYTES = 16 << 20
+# Words that the library encodes in one call, and characters of text that are split at once.
+JOINED, GROUP_CHARS = 500, 1_000_000
 # Texts of these characters alone are split here before their pieces are looked up; others go to the library whole.
 PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-\xac\xae-ſ]*\Z")
 LETTERS, NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ſ", "0-9²³¹¼½¾"
@@ -59,23 +61,50 @@ class PieceEncoder:
     def _encoded(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def encode(self, text: str | None) -> bytes:
-        """Ids of a whole text as bytes of ``kind``; null is empty."""
-        if not text:
-            return b""
-        if not PLAIN.match(text) or any(s in text for s in self.special):
-            return self._encoded(text)
-        known, out = self.pieces, []
-        for piece in PIECES.findall(text):
-            got = known.get(piece)
-            if got is None:
-                got = self._encoded(piece)
-                if len(known) >= CACHE_ENTRIES:
-                    known.clear()
-                if len(piece) <= 64:
-                    known[piece] = got
-            out.append(got)
-        return b"".join(out)
+    def _learn(self, pieces: list[str]) -> None:
+        """Encode pieces that are not known. Words with a leading space are encoded many at a time: the splitting rule
+        parts their concatenation before each space, and the library says which word each id belongs to."""
+        words = [p for p in pieces if p[0] == " " and p[1:].isalpha()]
+        for at in range(0, len(words), JOINED):
+            some = words[at : at + JOINED]
+            done = self.library.encode("".join(some), add_special_tokens=False)
+            ids, word = np.array(done.ids, self.kind), np.array(done.word_ids)
+            ends = np.searchsorted(word, np.arange(len(some)), "right") * self.kind.itemsize
+            data, start = ids.tobytes(), 0
+            for piece, end in zip(some, ends.tolist(), strict=True):
+                self.pieces[piece] = data[start:end]
+                start = end
+        for piece in pieces:
+            if piece not in self.pieces:
+                self.pieces[piece] = self._encoded(piece)
+
+    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Ids of whole texts as bytes of ``kind``; null is empty."""
+        for group in _groups(texts):
+            split = [PIECES.findall(t) if t and PLAIN.match(t) and not any(s in t for s in self.special) else None
+                     for t in group]
+            known = self.pieces
+            if len(known) >= CACHE_ENTRIES:
+                known.clear()
+            self._learn(list({p for pieces in split if pieces for p in pieces if p not in known}))
+            for text, pieces in zip(group, split, strict=True):
+                if pieces is None:
+                    yield self._encoded(text) if text else b""
+                else:
+                    yield b"".join([known[p] for p in pieces])
+
+
+def _groups(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """Runs of texts of about a million characters."""
+    group, size = [], 0
+    for t in texts:
+        group.append(t)
+        size += len(t or "")
+        if size >= GROUP_CHARS:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -195,9 +224,9 @@ def write(docs: DataFrame, folder: str, *, key: str = "doc_id", text: str = "tex
         shard = TaskContext.get().partitionId()
         writer = None
         for b in batches:
-            for k, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for k, ids in zip(b.column(0).to_pylist(), bpe.encode(b.column(1).to_pylist()), strict=True):
                 writer = writer or ShardWriter(folder, f"shard-{shard:06d}", length, bpe.kind)
-                writer.add(k, bpe.encode(body) + closing)
+                writer.add(k, ids + closing)
         if writer:
             n, total = writer.close()
             yield pa.RecordBatch.from_pydict({"shard": pa.array([shard]), "docs": pa.array([n]), "ids": pa.array([total])})
