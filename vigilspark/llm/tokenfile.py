@@ -1,7 +1,7 @@
 """Token ids in Arrow files whose batches hold equal-length sequences, written and read in parallel.
 
 A shard is one Arrow IPC file. Each record batch has up to ``BATCH_SEQUENCES`` rows of two fixed-size lists of
-``length`` values: ``ids`` (unsigned 16 or 32 bits) and ``mask`` (1 for an id, 0 for padding). The documents of a shard
+``length`` values: ``ids`` (unsigned 16 or 32 bits) and ``mask`` (one bit: true for an id, false for padding). The documents of a shard
 follow one another without gaps, and only the last sequence is padded. Since every sequence has the same size, the id at
 place p of a shard is element p modulo length of sequence p // length, which a memory-mapped file gives without copying.
 Beside it lies an index file with one row per document: key, start within the shard, number of ids.
@@ -131,7 +131,7 @@ class ShardWriter:
         self.store.create_dir(self.folder, recursive=True)
         # A name of its own until complete, so a lost or repeated attempt never leaves half a file under the final name.
         self.draft = f"{self.folder}/.{name}-{uuid.uuid4().hex}"
-        self.schema = pa.schema([("ids", pa.list_(pa.from_numpy_dtype(kind), length)), ("mask", pa.list_(pa.uint8(), length))])
+        self.schema = pa.schema([("ids", pa.list_(pa.from_numpy_dtype(kind), length)), ("mask", pa.list_(pa.bool_(), length))])
         self.sink = self.store.open_output_stream(self.draft)
         self.file = ipc.new_file(self.sink, self.schema)
         self.waiting: list[bytes] = []
@@ -154,8 +154,8 @@ class ShardWriter:
             part = flat[at : at + step]
             rows = -(-len(part) // self.length)
             ids = np.zeros(rows * self.length, self.kind)
-            mask = np.zeros(rows * self.length, np.uint8)
-            ids[: len(part)], mask[: len(part)] = part, 1
+            mask = np.zeros(rows * self.length, bool)
+            ids[: len(part)], mask[: len(part)] = part, True
             self.file.write_batch(pa.record_batch(
                 [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (ids, mask)], schema=self.schema))
             at += len(part)
