@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, language, multiindex, pii, repeats, simhash, tokenfile, toxicity
+from . import bpe, decontaminate, htmltext, language, multiindex, pii, repeats, simhash, tokenfile, toxicity
 from .common import read
 
 
+def op1_main_text(spark, sf_dir):
+    return htmltext.op1_main_text(spark, read(spark, sf_dir, "pages"))
+
+
 def op2_toxicity(spark, sf_dir):
     return toxicity.op2_toxicity(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -42,6 +46,6 @@ def op10_decontaminate(spark, sf_dir):
     return decontaminate.op10_decontaminate(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op3_token_files, op4_bpe, op5_simhash, op6_language, op7_pii, op8_vectors,
+QUERIES = {f.__name__: f for f in (op1_main_text, op2_toxicity, op3_token_files, op4_bpe, op5_simhash, op6_language, op7_pii, op8_vectors,
                                      op9_repeats, op10_decontaminate)}
 ORACLES: dict[str, str] = {}
