@@ -32,8 +32,14 @@ def test_split_shares(spark):
     counts = {(r.split, r.is_serious): r["count"] for r in ml.with_split(rows).groupBy("split", "is_serious").count().collect()}
     for label in (0, 1):
         total = sum(v for (s, y), v in counts.items() if y == label)
-        for split, share in (("test", 0.10), ("validation", 0.198), ("train", 0.702)):
-            assert abs(counts[split, label] / total - share) < 0.01
+        assert counts["test", label] == round(total * 0.10)
+        assert counts["validation", label] == round((total - counts["test", label]) * 0.22)
+
+
+def test_split_of_rows_without_or_with_one_id(spark):
+    rows = spark.range(1000).select(F.lit(None).cast("string").alias("safetyreportid"), F.lit(1).alias("is_serious"), "id")
+    counts = {r.split: r["count"] for r in ml.with_split(rows.drop("id").withColumn("x", F.lit(1))).groupBy("split").count().collect()}
+    assert counts == {"test": 100, "validation": 198, "train": 702}
 
 
 def test_models(spark, table, tmp_path):
@@ -65,9 +71,10 @@ def test_models(spark, table, tmp_path):
     assert abs(r.confidence_serious + r.confidence_non_serious - 1) < 1e-9
     assert r.high_confidence == int(max(r.confidence_serious, r.confidence_non_serious) > 0.8)
 
-    stored = store.conform(ml.performance_rows(metrics, ml.feature_importance(trained.models[ml.RANDOM_FOREST], None), F.current_timestamp()), "model_performance")
+    stored = store.conform(ml.performance_rows(metrics, ml.importances(trained), F.current_timestamp()), "model_performance")
     assert [f.name for f in stored.schema.fields] == [f.name for f in STORE_TABLES["model_performance"].fields]
     row = stored.where("model_name = 'Random Forest'").first()
+    assert stored.where("model_name = 'Logistic Regression'").first().feature_importance is None
     assert row.model_version == "random_forest_v1.0" and "drug_count" in row.feature_importance
 
 

@@ -58,39 +58,23 @@ def test_zones(spark, tmp_path):
     landing.write_csv(df, path)
     back = landing.read_csv(spark, path, df.schema)
     assert sorted(map(repr, back.collect())) == sorted(map(repr, df.collect()))
-    (tmp_path / "raw" / "u").mkdir()
-    (tmp_path / "raw" / "u" / "notes.txt").write_text("four")
-    keys = [r.key for r in landing.list_files(spark, f"{root}/raw", "u/").collect()]
-    assert keys == ["u/notes.txt"]
-    info = landing.file_info(spark, f"{root}/raw", "u/notes.txt").first()
-    assert (info["size"], info.content_type) == (4, "text/plain") and info.last_modified is not None
-    assert landing.list_files(spark, f"{root}/raw").count() > 1
 
 
-def test_scratch_folder(spark):
-    assert session.scratch_dir(spark, "a") != session.scratch_dir(spark, "a")
-    assert session.scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
-
-
-class _Unset:
-    """A session whose shared folder is not configured."""
+def test_csv_keeps_blanks_breaks_quotes_and_null(spark, tmp_path):
+    values = [" a ", "", None, "two\nlines", 'say "hi"', "a,b", "back\\slash", "\t"]
+    df = spark.createDataFrame(list(enumerate(values)), "n int, s string")
+    landing.write_csv(df, str(tmp_path / "c"))
+    assert [r.s for r in landing.read_csv(spark, str(tmp_path / "c"), df.schema).orderBy("n").collect()] == values
 
-    def __init__(self, spark, master):
-        self.conf = self
-        self.sparkContext = type("C", (), {"master": master, "applicationId": spark.sparkContext.applicationId})
 
-    def get(self, key, default=None):
-        return default
+def test_faers_files_with_headers_of_their_own(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("id$drug$dose\n1$x$5\n")
+    (tmp_path / "b.txt").write_text("dose$sex$ID\n7$F$2\n8\n9$M$3$more\n")
+    rows = faers.read_text_table(spark, [str(tmp_path / "a.txt"), str(tmp_path / "b.txt")], ["id", "drug", "dose"])
+    assert sorted(map(tuple, rows.collect()), key=str) == sorted([("1", "x", "5"), ("2", None, "7"), (None, None, "8")], key=str)
+    assert faers.read_text_table(spark, str(tmp_path / "b.txt")).columns == ["dose", "sex", "ID"]
 
 
-def test_scratch_folder_when_unset(spark):
-    local = _Unset(spark, "local[4]")
-    assert session.scratch_root(local) == session.scratch_root(local)
-    with pytest.raises(ValueError):
-        session.scratch_root(_Unset(spark, "yarn"))
-
-
-def test_listing_reads_no_contents(spark, tmp_path):
-    (tmp_path / "f.bin").write_text("x")
-    plan = landing.zone_files(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
-    assert "content#" not in plan.split("ReadSchema")[0].split("FileScan")[1]
+def test_scratch_folder(spark):
+    assert session.scratch_dir(spark, "a") != session.scratch_dir(spark, "a")
+    assert session.scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")

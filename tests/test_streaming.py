@@ -106,7 +106,9 @@ def test_bounded_run_and_stats(spark, tmp_path):
     query = scored.select("event_id").writeStream.format("parquet").option(
         "checkpointLocation", str(tmp_path / "c2")).start(str(tmp_path / "o2"))
     assert jobs.run_bounded(query, idle_seconds=5, poll_seconds=0.1) == 400
-    stats = jobs.run_stats(query)
+    with jobs.run_stats(spark) as run:
+        jobs.drain_to_parquet(scored.select("event_id"), str(tmp_path / "o3"), str(tmp_path / "c3"))
+    stats = run.totals()
     assert (stats["processed"], stats["serious_predicted"], stats["alerts_sent"]) == (400, 134, 134)
     assert stats["serious_percent"] == 33.5 and stats["events_per_minute"] > 0
 

@@ -28,12 +28,6 @@ BRAND_TO_GENERIC = {
 # Date window used when a caller leaves a bound out.
 DEFAULT_WINDOW = ("20240101", "20240331")
 
-# Row caps of the report and study searches.
-REPORT_CAP = 1000
-REPORT_FALLBACK_CAP = 100
-STUDY_CAP = 1000
-DRUG_STUDY_CAP = 500
-
 # Age bands of the cleaner: upper edges in years, first band closed at 0.
 CLEANER_AGE_EDGES = [0, 18, 35, 50, 65, 100]
 CLEANER_AGE_LABELS = ["child", "young_adult", "adult", "middle_age", "senior"]

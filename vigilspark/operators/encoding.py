@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,24 +14,14 @@ from .columns import named
 UNKNOWN = "UNKNOWN"
 
 
-def discover_domain(df: DataFrame, column: str, max_values: int = 1000) -> list[str]:
-    """The column's distinct values in order; more than ``max_values`` of them is an error.
+def one_hot(df: DataFrame, column: str, domain: Sequence[str]) -> DataFrame:
+    """Replace the column by one boolean column per value of the domain and one for missing values.
 
-    One-hot columns are part of the schema, so their names have to be known before the plan is built.
+    The columns are part of the schema, so the domain is given. For an open domain use ``top_n_codes``, or Spark's
+    ``StringIndexer`` and ``OneHotEncoder``, which keep the values in one vector column. The literal value 'nan' and a
+    missing value share the ``_nan`` column.
     """
-    rows = df.select(named(column).cast("string").alias("v")).where("v IS NOT NULL").distinct().limit(max_values + 1)
-    values = sorted(row["v"] for row in rows.collect())
-    if len(values) > max_values:
-        raise ValueError(f"{column} has more than {max_values} values; use top_n_codes for open domains")
-    return values
-
-
-def one_hot(df: DataFrame, column: str, domain: Sequence[str] | None = None) -> DataFrame:
-    """Replace the column by one boolean column per value and one for missing values.
-
-    The literal value 'nan' and a missing value share the ``_nan`` column.
-    """
-    values = discover_domain(df, column) if domain is None else list(domain)
+    values = list(domain)
     text = named(column).cast("string")
     flags = {
         f"{column}_{value}": F.coalesce(text == value, F.lit(False))
@@ -63,26 +53,26 @@ def frequent_values(df: DataFrame, sizes: dict[str, int]) -> DataFrame:
     return top.agg(*[values_of(name, size) for name, size in sizes.items()])
 
 
-def top_n_codes(df: DataFrame, sizes: dict[str, int]) -> dict[str, Column]:
+def dictionaries(df: DataFrame, sizes: dict[str, int]) -> Column:
+    """The frequent values of the columns as one struct: a scalar subquery of at most ``sum(sizes)`` values."""
+    return frequent_values(df, sizes).select(F.struct(*[named(name) for name in sizes])).scalar()
+
+
+def top_n_codes(known: Column, names: Iterable[str]) -> dict[str, Column]:
     """Code columns: rank among the column's most frequent values, 0 for all others.
 
-    A missing value counts as 'UNKNOWN', which always gets 0 but still takes a rank when it is frequent. The
-    dictionaries are one scalar subquery of at most ``sum(sizes)`` values, so coding needs no join.
+    ``known`` is the struct of ``dictionaries``, best kept in a column of its own, so that its subquery stands once in the
+    plan. A missing value counts as 'UNKNOWN', which always gets 0 but still takes a rank when it is frequent. Coding
+    needs no join.
     """
-    dictionaries = frequent_values(df, sizes).select(F.struct(*[named(name) for name in sizes])).scalar()
     codes = {}
-    for name in sizes:
+    for name in names:
         value = F.coalesce(named(name).cast("string"), F.lit(UNKNOWN))
-        position = F.array_position(dictionaries.getField(name), value).cast("int")
+        position = F.array_position(known.getField(name), value).cast("int")
         codes[name] = F.when(value == UNKNOWN, 0).otherwise(F.coalesce(position, F.lit(0)))
     return codes
 
 
-def encode_top_n(df: DataFrame, sizes: dict[str, int], suffix: str = "_encoded") -> DataFrame:
-    codes = top_n_codes(df, sizes)
-    return df.withColumns({f"{name}{suffix}": code for name, code in codes.items()})
-
-
 def generic_name(drug: Column | str) -> Column:
     """Generic name of a known brand, else the name in lower case."""
     text = F.lower(as_column(drug))

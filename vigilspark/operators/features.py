@@ -13,7 +13,7 @@ from .. import constants as K
 from ..functions import bands, dates, risk
 from ..functions.coerce import is_serious_text
 from .columns import columns_naming, fill_zero, named, number, with_numbers
-from .encoding import top_n_codes
+from .encoding import dictionaries, top_n_codes
 from .nested import flatten_first
 
 
@@ -84,7 +84,10 @@ def features_v2(
         columns.drug: K.TOP_DRUGS,
         columns.reaction: K.TOP_REACTIONS,
     }
-    codes = top_n_codes(reports, {c: n for c, n in sizes.items() if c in have}) if have & set(sizes) else {}
+    coded = {c: n for c, n in sizes.items() if c in have}
+    if coded:
+        rows = rows.withColumn("_known", dictionaries(reports, coded))
+    codes = top_n_codes(F.col("_known"), coded)
 
     base = rows.select(
         (named(id_column) if id_column else F.lit("")).alias("safetyreportid"),

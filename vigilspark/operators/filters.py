@@ -9,12 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..session import ensure_checkpoint_dir
 from .columns import named
 
-# Rows a top-n may merge in one task.
-TOP_ROWS = 100_000
-
 
 def window_bounds(start: str | None, end: str | None) -> tuple[str, str]:
     """Both bounds as given, or the default window when either is missing."""
@@ -44,20 +40,27 @@ def filter_serious(reports: DataFrame, serious: bool = True) -> DataFrame:
     return reports.where(F.col("serious") == ("1" if serious else "2"))
 
 
-def limit_reports(reports: DataFrame, limit: int = 100, cap: int = K.REPORT_CAP) -> DataFrame:
-    """First page of a search: the lowest report ids, at most ``cap`` of them."""
-    return reports.orderBy("safetyreportid").limit(min(limit, cap))
+def limit_reports(reports: DataFrame, limit: int = 100) -> DataFrame:
+    """First page of a search: the ``limit`` lowest report ids."""
+    return reports.orderBy("safetyreportid").limit(limit)
+
+
+def _if_none(reports: DataFrame, matching: DataFrame) -> DataFrame:
+    """All reports when ``matching`` has no row, else none.
+
+    The test is a relation of at most one row, so the reports are joined with one row at most; once it turns out empty,
+    adaptive execution drops the scan of the reports.
+    """
+    none = matching.limit(1).agg(F.count(F.lit(1)).alias("n")).where("n = 0")
+    return reports.join(none, F.lit(True), "left_semi")
 
 
 def fetch_with_fallback(
     reports: DataFrame, start: str | None = None, end: str | None = None, terms: list[str] | None = None
 ) -> DataFrame:
-    """Matching reports, or every report when nothing matches.
-
-    The emptiness test is an uncorrelated EXISTS, which stops at the first matching row.
-    """
-    wanted = in_receive_window(start, end) & term_condition(terms or [])
-    return reports.where(wanted | ~reports.where(wanted).exists())
+    """Matching reports, or every report when nothing matches. The conditions reach the scan of the matching ones."""
+    matching = reports.where(in_receive_window(start, end) & term_condition(terms or []))
+    return matching.unionByName(_if_none(reports, matching))
 
 
 def fetch_reports(
@@ -66,35 +69,17 @@ def fetch_reports(
     end: str | None = None,
     limit: int = 100,
     terms: list[str] | None = None,
+    fallback_limit: int | None = None,
 ) -> DataFrame:
-    """One page of matching reports; when nothing matches, a smaller page of any reports."""
-    wanted = in_receive_window(start, end) & term_condition(terms or [])
-    matching = reports.where(wanted)
-    fallback = reports.where(~matching.exists())
-    return limit_reports(matching, limit).unionByName(limit_reports(fallback, limit, K.REPORT_FALLBACK_CAP))
+    """One page of matching reports; when nothing matches, a page of any reports, of ``fallback_limit`` rows if given."""
+    matching = reports.where(in_receive_window(start, end) & term_condition(terms or []))
+    page = limit if fallback_limit is None else fallback_limit
+    return limit_reports(matching, limit).unionByName(limit_reports(_if_none(reports, matching), page))
 
 
-def first_rows(df: DataFrame, order: list[Column], n: int, bound: int = TOP_ROWS) -> DataFrame:
-    """The first n rows in the given total order.
-
-    Up to ``bound`` rows this is a plain top-n, whose final merge is one task. Beyond it the rows are range
-    partitioned by the order and stored; whole ranges are taken until the one in which n is reached, and only
-    that range is cut.
-    """
-    if n <= bound:
-        return df.orderBy(*order).limit(n)
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).checkpoint()
-    taken, cut, left = 0, None, 0
-    for row in ranged.groupBy("_range").count().orderBy("_range").toLocalIterator():  # one row per range
-        if taken + row["count"] > n:
-            cut, left = row["_range"], n - taken
-            break
-        taken += row["count"]
-    if cut is None:
-        return ranged.drop("_range")
-    whole = ranged.where(F.col("_range") < cut)
-    return whole.unionByName(ranged.where(F.col("_range") == cut).orderBy(*order).limit(left)).drop("_range")
+def first_rows(df: DataFrame, order: list[Column], n: int) -> DataFrame:
+    """The first n rows in the given total order. Tasks keep n rows at most, and n rows are merged."""
+    return df.orderBy(*order).limit(n)
 
 
 def balanced_sample(
@@ -103,7 +88,6 @@ def balanced_sample(
     n_non_serious: int,
     start: str | None = None,
     end: str | None = None,
-    bound: int = TOP_ROWS,
 ) -> DataFrame:
     """Up to the given number of reports per class, reports in the window first, then any date."""
     order = [
@@ -113,7 +97,7 @@ def balanced_sample(
     ]
 
     def block(serious: bool, n: int) -> DataFrame:
-        return first_rows(filter_serious(reports, serious), order, n, bound)
+        return first_rows(filter_serious(reports, serious), order, n)
 
     return block(True, n_serious).unionByName(block(False, n_non_serious))
 

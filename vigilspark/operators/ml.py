@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -9,12 +10,12 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import alerts
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_dir
 from .columns import evaluated_once, named
 from .features import score_features
 
@@ -22,22 +23,32 @@ LABEL = "is_serious"
 RANDOM_FOREST, GRADIENT_BOOSTING, LOGISTIC = "Random Forest", "Gradient Boosting", "Logistic Regression"
 
 
-def _hex_share(share: float) -> str:
-    return format(round(share * 65536), "04x")
+# Ranks within a class are counted in so many parts, each a task's work.
+SPLIT_PARTS = 256
 
 
-def with_split(df: DataFrame, key: str = "safetyreportid") -> DataFrame:
-    """Assign every row to train, validation or test by a hash of its key.
+def with_split(df: DataFrame, label: str = LABEL, parts: int = SPLIT_PARTS) -> DataFrame:
+    """Assign every row to train, validation or test, with exact shares of every class.
 
-    The hash does not depend on the class, so each class is split in the same shares (70.2 / 19.8 / 10.0)
-    up to sampling noise, without shuffling and the same way on every run.
+    The rows of a class are ranked by a hash of all their columns, so rows without an id, or with the same one, are dealt
+    out like others. The rank is the number of rows in earlier parts of the hash range plus the place within the
+    part; a class thus needs no task of its own. Of n rows of a class, round(0.10 n) are for testing and
+    round(0.22 (n - test)) for validation.
     """
-    test = _hex_share(K.TEST_SHARE)
-    validation = _hex_share(K.TEST_SHARE + (1 - K.TEST_SHARE) * K.VALIDATION_SHARE)
-    digest = F.substring(F.md5(named(key).cast("string").cast("binary")), 1, 4)
-    return df.withColumn(
-        "split", F.when(digest < test, "test").when(digest < validation, "validation").otherwise("train")
-    )
+    # The sign bit is shifted out, so parts are ranges of a number that is not negative.
+    digest = F.shiftrightunsigned(F.xxhash64(*[named(c) for c in df.columns]), 1)
+    hashed = evaluated_once(df, {"_hash": digest}).withColumn("_part", F.floor(F.col("_hash") / F.lit((1 << 63) / parts)).cast("int"))
+    by_class = Window.partitionBy(label)
+    sizes = hashed.groupBy(label, "_part").agg(F.count(F.lit(1)).alias("_n")).select(  # classes times parts rows
+        F.col(label).alias("_class"), F.col("_part").alias("_of"),
+        (F.sum("_n").over(by_class.orderBy("_part")) - F.col("_n")).alias("_before"), F.sum("_n").over(by_class).alias("_all"))
+    place = F.row_number().over(Window.partitionBy(label, "_part").orderBy("_hash"))
+    ranked = hashed.withColumn("_place", place).join(
+        sizes, named(label).eqNullSafe(F.col("_class")) & (F.col("_part") == F.col("_of")))
+    rank, test = F.col("_before") + F.col("_place"), F.round(F.col("_all") * K.TEST_SHARE)
+    validation = F.round((F.col("_all") - test) * K.VALIDATION_SHARE)
+    split = F.when(rank <= test, "test").when(rank <= test + validation, "validation").otherwise("train")
+    return ranked.select(*[named(c) for c in df.columns], split.alias("split"))
 
 
 def feature_columns(df: DataFrame) -> list[str]:
@@ -87,23 +98,6 @@ def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
     return pipeline.fit(train.select(LABEL, *feature_columns(train)))
 
 
-def train_all(train: DataFrame) -> TrainedModels:
-    """All three classifiers on the same rows."""
-    import time
-
-    out = TrainedModels()
-    pipelines = {
-        RANDOM_FOREST: lambda: random_forest(feature_columns(train)),
-        GRADIENT_BOOSTING: lambda: gradient_boosting(feature_columns(train)),
-        LOGISTIC: lambda: logistic(train.count(), feature_columns(train)),
-    }
-    for name, build in pipelines.items():
-        started = time.monotonic()
-        out.models[name] = fit(build(), train)
-        out.seconds[name] = time.monotonic() - started
-    return out
-
-
 def score(model: PipelineModel, events: DataFrame) -> DataFrame:
     """Prediction, both class probabilities, label and confidence flag for every event."""
     scored = model.transform(score_features(events))
@@ -156,10 +150,12 @@ def roc_auc(scored: DataFrame, label: str = LABEL, probability: str = "confidenc
 
 
 def evaluate(models: TrainedModels, test: DataFrame) -> DataFrame:
-    """One row of test metrics per model, in training order."""
+    """One row of test metrics per model, in training order. Each model scores the rows once, into the shared folder."""
     rows = None
     for order, (name, model) in enumerate(models.models.items()):
-        scored = score(model, test)
+        path = scratch_dir(test.sparkSession, "scored")
+        score(model, test).select(LABEL, "prediction", "confidence_serious").write.parquet(path)
+        scored = test.sparkSession.read.parquet(path)
         one = classification_metrics(scored).select(
             F.lit(order).alias("model_order"),
             F.lit(name).alias("model_name"),
@@ -202,13 +198,20 @@ def load_model(root: str, name: str = GRADIENT_BOOSTING) -> PipelineModel:
     return PipelineModel.load(model_path(root, name))
 
 
-def performance_rows(metrics: DataFrame, importance: DataFrame | None, trained_at: Column) -> DataFrame:
-    """Rows for the model performance table."""
-    shares = (
-        importance.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("feature", "importance"))))).scalar()
-        if importance is not None else F.lit(None).cast("string")
-    )
-    return metrics.select(
+def importances(models: TrainedModels) -> DataFrame:
+    """``model_name`` and its importances as JSON; no row for models that have none. One row per model and feature at most."""
+    spark = SparkSession.active()
+    found = []
+    for name, model in models.models.items():
+        weights = {r.feature: r.importance for r in feature_importance(model, None).collect()}
+        if weights:
+            found.append((name, json.dumps(weights)))
+    return spark.createDataFrame(found, "model_name string, feature_importance string")
+
+
+def performance_rows(metrics: DataFrame, shares: DataFrame, trained_at: Column) -> DataFrame:
+    """Rows for the model performance table; ``shares`` are the importances by model name."""
+    return metrics.join(F.broadcast(shares), "model_name", "left").select(
         "model_name",
         F.concat(F.lower(F.replace(F.col("model_name"), F.lit(" "), F.lit("_"))), F.lit("_v1.0"))
         .alias("model_version"),
@@ -218,6 +221,6 @@ def performance_rows(metrics: DataFrame, importance: DataFrame | None, trained_a
         "f1_score",
         "roc_auc",
         trained_at.alias("training_date"),
-        shares.alias("feature_importance"),
+        "feature_importance",
         F.to_json(F.struct("accuracy", "precision", "recall", "f1_score", "roc_auc")).alias("performance_data"),
     )

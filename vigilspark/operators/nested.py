@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .. import constants as K
 from .columns import named
 
 
@@ -78,8 +77,8 @@ def study_records(studies: DataFrame) -> DataFrame:
 _BASE = ["nctId", "briefTitle", "phase", "studyType", "overallStatus"]
 
 
-def _first_rows(df: DataFrame, limit: int | None, cap: int) -> DataFrame:
-    return df if limit is None else df.orderBy("nctId").limit(min(limit, cap))
+def _first_rows(df: DataFrame, limit: int | None) -> DataFrame:
+    return df if limit is None else df.orderBy("nctId").limit(limit)
 
 
 def studies_by_phase(studies: DataFrame, phase: str, limit: int | None = None) -> DataFrame:
@@ -87,7 +86,7 @@ def studies_by_phase(studies: DataFrame, phase: str, limit: int | None = None) -
     hits = studies.where(F.array_contains(F.col("protocolSection.designModule.phases"), phase))
     records = study_records(hits).withColumn("phase", F.lit(phase))
     records = records.select(*_BASE, "startDate", "completionDate", "enrollment")
-    return _first_rows(records, limit, K.STUDY_CAP)
+    return _first_rows(records, limit)
 
 
 def studies_by_drug(studies: DataFrame, drug: str, limit: int | None = None) -> DataFrame:
@@ -96,7 +95,7 @@ def studies_by_drug(studies: DataFrame, drug: str, limit: int | None = None) ->
     hits = studies.where(F.exists(interventions, lambda i: F.lower(i["name"]).contains(drug.lower())))
     records = study_records(hits).withColumn("drug_searched", F.lit(drug))
     records = records.select("drug_searched", *_BASE, "enrollment", "interventions")
-    return _first_rows(records, limit, K.DRUG_STUDY_CAP)
+    return _first_rows(records, limit)
 
 
 def recent_studies(studies: DataFrame, start_date: str | None = None, limit: int | None = None) -> DataFrame:
@@ -105,7 +104,7 @@ def recent_studies(studies: DataFrame, start_date: str | None = None, limit: int
     if start_date is not None:
         hits = hits.where(F.col("protocolSection.statusModule.startDateStruct.date") >= start_date)
     records = study_records(hits).select(*_BASE, "startDate", "completionDate", "enrollment", "conditions")
-    return _first_rows(records, limit, K.STUDY_CAP)
+    return _first_rows(records, limit)
 
 
 def study_details(studies: DataFrame, nct_id: str) -> DataFrame:

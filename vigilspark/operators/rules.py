@@ -55,8 +55,8 @@ def assessed_with_source(events: DataFrame) -> DataFrame:
     return assess(events).withColumns({"event_id": stable_event_id(events), "raw_data": original})
 
 
-def rule_event_rows(assessed: DataFrame, now: Column | None = None) -> DataFrame:
-    """Rows for the event table out of ``assessed_with_source``."""
+def rule_event_rows(assessed: DataFrame, now: Column | None = None, *keep: str) -> DataFrame:
+    """Rows for the event table out of ``assessed_with_source``, with the columns to keep beside them."""
     report_id = F.col("safetyreportid").cast("string") if "safetyreportid" in assessed.columns else F.lit(None)
     return assessed.select(
         "event_id",
@@ -66,6 +66,7 @@ def rule_event_rows(assessed: DataFrame, now: Column | None = None) -> DataFrame
         F.col("risk_score").alias("patient_risk_score"),
         "raw_data",
         (F.current_timestamp() if now is None else now).alias("created_at"),
+        *keep,
     )
 
 
@@ -73,10 +74,14 @@ def rule_alert_gate(assessed: DataFrame) -> DataFrame:
     return assessed.where(F.col("risk_score") >= K.RULE_MEDIUM)
 
 
-def rule_alerts(assessed: DataFrame, now: Column | None = None) -> DataFrame:
+def rule_alerts(assessed: DataFrame, now: Column | None = None, *keep: str) -> DataFrame:
     """Alert rows for events that reach the alert threshold."""
-    assessment = F.struct("prediction", "risk_score", "alert_level", "risk_factors", "model_version")
+    stamp = F.current_timestamp() if now is None else now
+    assessment = F.struct(
+        "prediction", "risk_score", "alert_level", "risk_factors", "model_version",
+        F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"))
     return rule_alert_gate(assessed).select(
+        F.concat(F.lit("RULE_ALERT_"), F.col("event_id")).alias("alert_id"),
         "event_id",
         F.lit(K.RULE_ALERT_TYPE).alias("alert_type"),
         "alert_level",
@@ -84,5 +89,6 @@ def rule_alerts(assessed: DataFrame, now: Column | None = None) -> DataFrame:
         "model_version",
         rules.rule_message(F.col("alert_level"), F.col("risk_factors")).alias("alert_message"),
         F.to_json(assessment).alias("alert_data"),
-        (F.current_timestamp() if now is None else now).alias("created_at"),
+        stamp.alias("created_at"),
+        *keep,
     )

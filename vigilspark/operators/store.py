@@ -1,8 +1,9 @@
 """Event and alert tables: creation, keyed appends, integrity checks and the dashboard queries.
 
-A store is a folder of Parquet tables. Every append writes its own ``ingest_batch=<id>`` folder and replaces
-that folder when the same batch is written again, so a retried or replayed batch leaves one copy. Events and
-alerts are further divided by day of creation, so that the dashboard queries read only the days they ask for.
+A store is a folder of Parquet tables. Every append writes a folder of its own, ``ingest_batch=<writer>-<id>``, and
+replaces that folder when the same writer writes the same batch again: a retried or replayed batch leaves one copy, and
+writers that number their batches alike keep apart. Events and alerts are further divided by day of creation, so that
+the dashboard queries read only the days they ask for. ``compact`` folds the batches of a table into one.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ BATCH = "ingest_batch"
 DAY = "created_day"
 DAILY = ("adverse_events", "safety_alerts")
 
-# Keys a broadcast may carry, counted before every use; larger sides are joined by shuffling.
-BROADCAST_KEYS = 1_000_000
+# Columns that no row may leave empty.
+REQUIRED = {"safety_alerts": ("alert_type", "alert_level")}
 
 
 def _layout(name: str) -> list[T.StructField]:
@@ -44,8 +45,11 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{root}/{name}")
 
 
-def conform(rows: DataFrame, name: str, now: Column | None = None) -> DataFrame:
-    """Rows in the declared columns and types of a table, with the table's defaults for absent columns."""
+def conform(rows: DataFrame, name: str, now: Column | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Rows in the declared columns and types of a table, with the table's defaults for absent columns.
+
+    Columns named in ``keep`` are carried along.
+    """
     stamp = F.current_timestamp() if now is None else now
     defaults = {"created_at": stamp, "updated_at": stamp, "timestamp": stamp, "is_reviewed": F.lit(False)}
     out = []
@@ -62,31 +66,42 @@ def conform(rows: DataFrame, name: str, now: Column | None = None) -> DataFrame:
         if field.name in ("created_at", "updated_at", "timestamp", "is_reviewed"):
             value = F.coalesce(value, default)
         out.append(value.cast(field.dataType).alias(field.name))
-    return rows.select(*out)
+    return rows.select(*out, *keep)
+
+
+def batch_name(writer: str, batch_id: str | int) -> str:
+    return f"{writer}-{batch_id}"
 
 
-def append_batch(rows: DataFrame, root: str, name: str, batch_id: str | int) -> None:
-    """Append rows as one batch; writing the same batch id again replaces it.
+def append_batch(rows: DataFrame, root: str, name: str, batch_id: str | int, writer: str = "bulk") -> None:
+    """Append rows as one batch of a writer; the same writer's same batch is replaced, whatever days it held.
 
-    Daily tables are rebalanced by day first: a day's rows then lie in few files, and adaptive execution
+    Rows without a required value are an error of the job. Daily tables are rebalanced by day first: a day's rows then lie in few files, and adaptive execution
     splits a day that holds more than its share over several tasks.
     """
-    target = f"{root}/{name}/{BATCH}={batch_id}"
+    for column in REQUIRED.get(name, ()):
+        missing = F.raise_error(F.lit(f"{name}.{column} may not be null")).cast(rows.schema[column].dataType)
+        rows = rows.withColumn(column, F.coalesce(named(column), missing))
+    _replace(rows, name, f"{root}/{name}/{BATCH}={batch_name(writer, batch_id)}")
+
+
+def _replace(rows: DataFrame, name: str, target: str) -> None:
+    # Under dynamic overwrite a replay on another day would leave the first one's days in place.
     if name in DAILY:
-        daily = rows.withColumn(DAY, F.to_date("created_at")).hint("rebalance", DAY)
-        daily.write.mode("overwrite").partitionBy(DAY).parquet(target)
-    else:
-        rows.write.mode("overwrite").parquet(target)
+        rows = rows.withColumn(DAY, F.to_date("created_at")).hint("rebalance", DAY)
+    write = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (write.partitionBy(DAY) if name in DAILY else write).parquet(target)
 
 
-def rows_with_keys_of(big: DataFrame, small: DataFrame, key: str, max_keys: int = BROADCAST_KEYS) -> DataFrame:
-    """The big side's rows whose key occurs on the small side.
+def compact(spark: SparkSession, root: str, name: str, into: str) -> DataFrame:
+    """Write all batches of a table as one batch below another root, and return the table there.
 
-    The small side's distinct keys are counted first: up to ``max_keys`` they are broadcast and the big side is
-    scanned without a shuffle; beyond that both sides are shuffled by key.
+    The old root is left as it is; readers and writers move on when the copy is complete.
     """
-    keys = small.select(key).distinct()
-    return big.join(F.broadcast(keys) if keys.count() <= max_keys else keys, key, "left_semi")
+    rows = read_table(spark, root, name).drop(BATCH, DAY)
+    create_tables(spark, into, [name])
+    append_batch(rows, into, name, 0, "compacted")
+    return read_table(spark, into, name)
 
 
 def first_per_key(rows: DataFrame, key: str, order: str) -> DataFrame:
@@ -99,28 +114,28 @@ def first_per_key(rows: DataFrame, key: str, order: str) -> DataFrame:
     return picked.select(key, "row.*").select(*[named(c) for c in rows.columns])
 
 
-def insert_ignore(
-    batch: DataFrame, stored: DataFrame, order: str, key: str = "event_id", max_keys: int = BROADCAST_KEYS
-) -> DataFrame:
+def insert_ignore(batch: DataFrame, stored: DataFrame, order: str, key: str = "event_id") -> DataFrame:
     """The batch's rows to append: first row per key, and only keys the store lacks. Null keys never clash.
 
-    The store is narrowed to the batch's keys before the anti join, so that a small batch costs one scan of
-    the store's key column and no shuffle of the store.
+    Of the store only the keys of this batch are kept before the anti join. Both are equi-joins on the key; adaptive
+    execution broadcasts the batch's keys where they are few. ``order`` is the column that says which row came first.
     """
-    keyed = batch.where(named(key).isNotNull())
-    present = rows_with_keys_of(stored.select(key), keyed, key, max_keys).distinct()
-    accepted = first_per_key(keyed, key, order).join(present, key, "left_anti")
+    first = first_per_key(batch.where(named(key).isNotNull()), key, order)
+    present = stored.select(key).join(first.select(key), key, "left_semi").distinct()
+    accepted = first.join(present, key, "left_anti").select(*batch.columns)
     return accepted.unionByName(batch.where(named(key).isNull()))
 
 
 def alerts_with_event(alerts: DataFrame, events: DataFrame) -> DataFrame:
-    """Alerts whose event exists."""
-    return alerts.join(events.select("event_id"), "event_id", "left_semi").select(*alerts.columns)
+    """Alerts that keep the foreign key: their event exists, or they name none."""
+    named_one = alerts.where("event_id IS NOT NULL").join(events.select("event_id"), "event_id", "left_semi")
+    return named_one.select(*alerts.columns).unionByName(alerts.where("event_id IS NULL"))
 
 
 def orphan_alerts(alerts: DataFrame, events: DataFrame) -> DataFrame:
-    """Alerts whose event does not exist."""
-    return alerts.join(events.select("event_id"), "event_id", "left_anti").select(*alerts.columns)
+    """Alerts that name an event which does not exist."""
+    keyed = alerts.where("event_id IS NOT NULL")
+    return keyed.join(events.select("event_id"), "event_id", "left_anti").select(*alerts.columns)
 
 
 def _since(as_of: Column | None, hours: int) -> Column:
@@ -138,8 +153,8 @@ def recent_alerts(
 ) -> DataFrame:
     """Alerts of the last hours with report id and receive date of their event, newest first.
 
-    The time and level filters run on the alert scan, and events are narrowed to the alerts' ids before the
-    join, so the event table is not shuffled for a day's worth of alerts.
+    The time and level filters run on the alert scan; the join with the events is a plain equi-join, for which adaptive
+    execution broadcasts a day's worth of alerts where they are few.
     """
     since = _since(as_of, hours)
     recent = alerts.where(F.col("created_at") >= since)
@@ -147,7 +162,7 @@ def recent_alerts(
         recent = recent.where(F.col(DAY) >= F.date_sub(F.to_date(since), 1))
     if alert_level is not None:
         recent = recent.where(F.col("alert_level") == alert_level)
-    details = rows_with_keys_of(events.select("event_id", "safetyreportid", "receivedate"), recent, "event_id")
+    details = events.select("event_id", "safetyreportid", "receivedate")
     return (
         recent.join(details, "event_id")
         .select(*alerts.columns, "safetyreportid", "receivedate")

@@ -102,9 +102,15 @@ SELECT safetyreportid, {yes("serious = '1'")} AS is_serious, COALESCE({number('s
 FROM reports {joins}"""
 
 
-def _listed(first: str, second: str) -> str:
-    """Length of the list of a first and a last name."""
-    return f"(CASE WHEN {first} IS NULL THEN 0 WHEN {first} = {second} THEN 1 ELSE 2 END)"
+# All drugs and reactions of a report, counted from the line items.
+_LISTED = """
+SELECT CAST(l_orderkey AS VARCHAR(20)) AS listed_id, list_sort(list_distinct(list(p_name))) AS drugs,
+  list_sort(list_distinct(list(p_type))) AS reactions
+FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey"""
+
+
+def _listed(names: str) -> str:
+    return f"CAST(COALESCE(len({names}), 0) AS INTEGER)"
 
 
 # Columns of the flattened input whose names contain 'drug' or 'reaction'.
@@ -189,11 +195,14 @@ STEPS: dict[str, tuple[list[str], str]] = {
         LAG, f"CAST(COALESCE(month({day('receivedate')}), 0) AS INTEGER)",
         f"CAST(COALESCE(year({day('receivedate')}), 0) AS INTEGER)", "drug_count", "reaction_count",
     )),
-    "training_nested": (["reports"], _features_v2(
+    "listed": ([], _LISTED),
+    "reports_listed": (["reports", "listed"],
+                       "SELECT reports.*, drugs, reactions FROM reports LEFT JOIN listed ON safetyreportid = listed_id"),
+    "training_nested": (["reports_listed"], _features_v2(
         LAG, f"CAST(COALESCE(month({day('receivedate')}), 0) AS INTEGER)",
         f"CAST(COALESCE(year({day('receivedate')}), 0) AS INTEGER)",
-        _listed("medicinalproduct", "secondproduct"), _listed("reactionmeddrapt", "secondreaction"),
-    )),
+        _listed("drugs"), _listed("reactions"),
+    ).replace("FROM reports", "FROM reports_listed")),
     "rule_input": (["reports"], _RULE_REPORTS),
     "ruled": (["rule_input"], _rule_score("rule_input")),
     "rule_event_input": (["rule_events"], _RULE_EVENT_INPUT),

@@ -15,7 +15,7 @@ from ..session import scratch_dir
 from ..streaming import events as stream_events
 from . import oracle as O
 from .registry import query
-from .report_queries import ID, _features_v1, training_features
+from .report_queries import ID, _features_v1, training_features, stored_training
 from .tables import Tables
 
 RAW_COLUMNS = [
@@ -178,21 +178,25 @@ def eda_report_lines(t: Tables) -> DataFrame:
     return profile.report_lines(_features_v1(t))
 
 
-@query("split_balance", O.using("training", body="""
-SELECT split, is_serious AS label, COUNT(*) AS n,
-  round(CAST(COUNT(*) AS DOUBLE) / sum(COUNT(*)) OVER (PARTITION BY split), 6) AS fraction
-FROM (SELECT is_serious, CASE WHEN substr(md5(safetyreportid),1,4) < '199a' THEN 'test'
-  WHEN substr(md5(safetyreportid),1,4) < '4c4a' THEN 'validation' ELSE 'train' END AS split FROM training) x
-GROUP BY split, is_serious"""))
+_SPLIT_SIZES = """SELECT is_serious, n, round(n * 0.10) AS test, round((n - round(n * 0.10)) * 0.22) AS validation
+FROM (SELECT is_serious, CAST(COUNT(*) AS DOUBLE) AS n FROM training GROUP BY is_serious) c"""
+_SPLIT_COUNTS = """SELECT split, is_serious AS label,
+  CAST(CASE split WHEN 'test' THEN test WHEN 'validation' THEN validation ELSE n - test - validation END AS BIGINT) AS n
+FROM sizes, (VALUES ('test'), ('validation'), ('train')) parts(split)"""
+
+
+@query("split_balance", O.using("training", extra={"sizes": _SPLIT_SIZES, "counts": _SPLIT_COUNTS}, body="""
+SELECT split, label, n, round(CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY split), 6) AS fraction FROM counts"""))
 def split_balance(t: Tables) -> DataFrame:
-    return profile.split_balance(ml.with_split(training_features(t)))
+    return profile.split_balance(ml.with_split(stored_training(t)))
 
 
-@query("stratified_split", O.using("training", body="""
-SELECT safetyreportid, is_serious, CASE WHEN substr(md5(safetyreportid),1,4) < '199a' THEN 'test'
-  WHEN substr(md5(safetyreportid),1,4) < '4c4a' THEN 'validation' ELSE 'train' END AS split FROM training"""))
+@query("stratified_split", O.using("training", body="SELECT safetyreportid, is_serious, 1 AS parts FROM training"))
 def stratified_split(t: Tables) -> DataFrame:
-    return ml.with_split(training_features(t)).select(ID, "is_serious", "split")
+    """Every report with the number of parts it lies in."""
+    parts = ml.with_split(stored_training(t)).groupBy(ID, "is_serious").agg(
+        F.count_if(F.col("split").isin("train", "validation", "test")).cast("int").alias("parts"))
+    return parts
 
 
 _MINUTE_SQL = """SELECT date_trunc('minute', created_at) AS minute, COUNT(*) AS events,
@@ -399,13 +403,13 @@ def store_events(t: Tables) -> DataFrame:
 
 
 @query("store_alerts", O.using("alert_store", body="""
-SELECT event_id, alert_type, alert_level, FALSE AS is_reviewed, created_at FROM alert_store"""))
+SELECT alert_id, event_id, alert_type, alert_level, FALSE AS is_reviewed, created_at FROM alert_store"""))
 def store_alerts(t: Tables) -> DataFrame:
     root = _store_root(t, "safety_alerts")
     store.append_batch(store.conform(t.alert_store, "safety_alerts"), root, "safety_alerts", 0)
     rows = store.read_table(t.spark, root, "safety_alerts")
     return rows.select(
-        "event_id", "alert_type", "alert_level", "is_reviewed",
+        "alert_id", "event_id", "alert_type", "alert_level", "is_reviewed",
         F.col("created_at").cast("timestamp_ntz").alias("created_at"))
 
 
@@ -426,7 +430,7 @@ def bulk_insert_ignore(t: Tables) -> DataFrame:
 
 _FILLED = {
     "adverse_events": ("event_store", ["event_id", "safetyreportid", "receivedate", "serious", "created_at", "updated_at"]),
-    "safety_alerts": ("alert_store", ["event_id", "alert_type", "alert_level", "is_reviewed", "created_at"]),
+    "safety_alerts": ("alert_store", ["alert_id", "event_id", "alert_type", "alert_level", "is_reviewed", "created_at"]),
 }
 
 

@@ -9,6 +9,7 @@ from ..functions import bands, dates, risk, trials
 from ..functions.coerce import is_serious_numeric, is_serious_text, to_number
 from ..functions.text import ascii_only
 from ..operators import cleaning, columns, encoding, features, filters, nested
+from ..session import scratch_dir
 from . import oracle as O
 from .registry import query
 from .tables import Tables
@@ -45,7 +46,7 @@ def filter_serious(t: Tables) -> DataFrame:
     return filters.filter_serious(t.reports, serious=False).select(*_SEARCH)
 
 
-@query("limit_reports", _reports(f"SELECT {_SEARCH_SQL} FROM reports ORDER BY safetyreportid LIMIT 1000"))
+@query("limit_reports", _reports(f"SELECT {_SEARCH_SQL} FROM reports ORDER BY safetyreportid LIMIT 5000"))
 def limit_reports(t: Tables) -> DataFrame:
     return filters.limit_reports(t.reports.select(*_SEARCH), 5000)
 
@@ -94,7 +95,7 @@ def studies_by_phase(t: Tables) -> DataFrame:
 
 @query("studies_by_drug", O.using("study_records", body=f"""
 SELECT 'Gear' AS drug_searched, {_STUDY}, enrollment, interventions FROM study_records
-WHERE lower(array_to_string(intervention_list, '|')) LIKE '%gear%' ORDER BY nctId LIMIT 500"""))
+WHERE lower(array_to_string(intervention_list, '|')) LIKE '%gear%' ORDER BY nctId LIMIT 2000"""))
 def studies_by_drug(t: Tables) -> DataFrame:
     return nested.studies_by_drug(t.studies_nested, "Gear", 2000)
 
@@ -113,9 +114,13 @@ def study_details(t: Tables) -> DataFrame:
     return details.select("identificationModule.*", "statusModule.overallStatus")
 
 
-@query("sample_events")
+@query("sample_events", "SELECT CAST(0 AS BIGINT) AS strangers, TRUE AS near_half")
 def sample_events(t: Tables) -> DataFrame:
-    return filters.sample_events(t.event_store, 0.5)
+    """A random draw of half as many events: all of them known, and about as many as asked for."""
+    drawn = filters.sample_events(t.event_store, 0.5)
+    strangers = drawn.join(t.event_store, "event_id", "left_anti").agg(F.count(F.lit(1))).scalar()
+    share = F.count(F.lit(1)) / t.event_store.agg(F.count(F.lit(1))).scalar()
+    return drawn.agg(share.between(0.4, 0.6).alias("near_half")).select(strangers.alias("strangers"), "near_half")
 
 
 # Flattening
@@ -124,19 +129,14 @@ def _names(array, field: str):
     return F.array_join(F.transform(array, lambda x: x[field]), ", ")
 
 
-def _both(first: str, second: str) -> str:
-    return f"CASE WHEN {first} = {second} THEN {first} ELSE concat_ws(', ', {first}, {second}) END"
+_DRUGS_SQL, _REACTIONS_SQL = (f"COALESCE(array_to_string({names}, ', '), '')" for names in ("drugs", "reactions"))
 
 
-_DRUGS_SQL = f"COALESCE({_both('medicinalproduct', 'secondproduct')}, '')"
-_REACTIONS_SQL = f"COALESCE({_both('reactionmeddrapt', 'secondreaction')}, '')"
-
-
-@query("json_normalize", _reports(f"""
+@query("json_normalize", O.using("reports_listed", body=f"""
 SELECT safetyreportid, serious AS "primarysource.qualification",
   primarysourcecountry AS "primarysource.reportercountry", patientonsetage AS "patient.patientonsetage",
   patientweight AS "patient.patientweight", {_DRUGS_SQL} AS "patient.drug", {_REACTIONS_SQL} AS "patient.reaction"
-FROM reports"""))
+FROM reports_listed"""))
 def json_normalize(t: Tables) -> DataFrame:
     flat = nested.json_normalize(t.reports_nested)
     return flat.select(
@@ -148,13 +148,13 @@ def json_normalize(t: Tables) -> DataFrame:
     )
 
 
-@query("flatten_first", _reports(f"""
+@query("flatten_first", O.using("reports_listed", body=f"""
 SELECT safetyreportid, serious AS primarysource_qualification,
   CASE WHEN outcome_severity > 4 THEN primarysourcecountry END AS reportduplicate_duplicatesource,
   CASE WHEN outcome_severity > 4 THEN safetyreportid END AS reportduplicate_duplicatenumb,
   patientonsetage AS patient_patientonsetage, patientweight AS patient_patientweight,
   {_DRUGS_SQL} AS patient_drug, {_REACTIONS_SQL} AS patient_reaction
-FROM reports"""))
+FROM reports_listed"""))
 def flatten_first(t: Tables) -> DataFrame:
     flat = nested.flatten_first(t.reports_nested)
     return flat.select(
@@ -364,6 +364,13 @@ def training_features(t: Tables) -> DataFrame:
     return features.features_v2(t.reports, TRAINING, calendar="actual", counts="given")
 
 
+def stored_training(t: Tables) -> DataFrame:
+    """The training table, written once: the split reads it twice."""
+    path = scratch_dir(t.spark, "training")
+    training_features(t).write.parquet(path)
+    return t.spark.read.parquet(path)
+
+
 @query("features_v2", O.using("features_v2", body=f"SELECT {_ROUND_SQL} FROM features_v2"))
 def features_v2(t: Tables) -> DataFrame:
     return _round_scores(_features_v2(t))
@@ -417,8 +424,7 @@ def one_hot_age_group(t: Tables) -> DataFrame:
     f"COALESCE(occurcountry = 'NATION_{i}', FALSE) AS \"occurcountry_NATION_{i}\"" for i in range(25))
     + ", occurcountry IS NULL AS occurcountry_nan FROM reports"))
 def one_hot_country(t: Tables) -> DataFrame:
-    """Open domain: the column names come from the data."""
-    return encoding.one_hot(t.reports.select(ID, "occurcountry"), "occurcountry")
+    return encoding.one_hot(t.reports.select(ID, "occurcountry"), "occurcountry", [f"NATION_{i}" for i in range(25)])
 
 
 def _top_sql(column: str, n: int) -> str:
@@ -428,7 +434,8 @@ LEFT JOIN ({O.top_codes(column, n)}) c ON COALESCE({column}, 'UNKNOWN') = c.v"""
 
 def _top(t: Tables, column: str, n: int) -> DataFrame:
     reports = t.reports.select(ID, column)
-    return reports.select(ID, encoding.top_n_codes(reports, {column: n})[column].alias("code"))
+    known = reports.withColumn("_known", encoding.dictionaries(reports, {column: n}))
+    return known.select(ID, encoding.top_n_codes(F.col("_known"), [column])[column].alias("code"))
 
 
 @query("topn_country", _top_sql("occurcountry", 5))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -17,9 +17,9 @@ from ..sources import external, faers, landing
 from ..streaming import events as E
 from ..streaming import jobs
 from . import oracle as O
-from .profile_queries import _ALERT_ROW, _ALERT_ROW_SQL, _MESSAGE_SQL, _MINUTE_SQL
+from .profile_queries import _ALERT_ROW, _ALERT_ROW_SQL, _MESSAGE_SQL, _MINUTE_SQL, _SPLIT_SIZES
 from .registry import query
-from .report_queries import ID, training_features
+from .report_queries import ID, stored_training
 from .tables import EVENT_FIELDS, EVENT_STORE, RULE_EVENTS, SCORED_EVENTS, Tables
 
 
@@ -49,71 +49,67 @@ _DEMO = ["primaryid", "occr_country", "event_dt", "age"]
 _DELIMITED = {"quote": "", "header": True, "sep": "\x01", "emptyValue": "", "encoding": "UTF-8"}
 
 
-def _demo_lines(t: Tables) -> DataFrame:
-    """Text rows: every 43rd has a field too many, every 47th lacks its last two."""
-    key = F.col(ID).cast("bigint")
-    fields = [F.coalesce(F.col(c), F.lit("")) for c in (ID, "occurcountry", "receivedate", "patientonsetage")]
+def _every(n: int, rest: int = 0) -> Column:
+    return F.col(ID).cast("bigint") % n == rest
+
+
+def _demo_lines(reports: DataFrame, order: list[str]) -> DataFrame:
+    """Text rows with the columns in the given order: every 43rd has a field too many, every 47th lacks its last two."""
+    source = {"primaryid": ID, "occr_country": "occurcountry", "event_dt": "receivedate", "age": "patientonsetage", "sex": "serious"}
+    fields = [F.coalesce(F.col(source[c]), F.lit("")) for c in order]
     full = F.concat_ws("$", *fields)
     line = (
-        F.when(key % 43 == 0, F.concat(full, F.lit("$surplus")))
-        .when(key % 47 == 0, F.concat_ws("$", *fields[:2]))
+        F.when(_every(43), F.concat(full, F.lit("$surplus")))
+        .when(_every(47), F.concat_ws("$", *fields[:-2]))
         .otherwise(full)
     )
-    return t.reports.select(line.alias("$".join(_DEMO)))
+    return reports.select(line.alias("$".join(order)))
 
 
 @query("read_faers_text", O.using("reports", body="""
 SELECT safetyreportid AS primaryid, occurcountry AS occr_country,
-  CASE WHEN CAST(safetyreportid AS BIGINT) % 47 <> 0 THEN receivedate END AS event_dt,
+  CASE WHEN CAST(safetyreportid AS BIGINT) % 2 = 1 OR CAST(safetyreportid AS BIGINT) % 47 <> 0 THEN receivedate END AS event_dt,
   CASE WHEN CAST(safetyreportid AS BIGINT) % 47 <> 0 THEN patientonsetage END AS age
 FROM reports WHERE CAST(safetyreportid AS BIGINT) % 43 <> 0"""))
 def read_faers_text(t: Tables) -> DataFrame:
-    path = scratch_dir(t.spark, "faers-text")
-    _demo_lines(t).write.options(**_DELIMITED).csv(path)
-    return faers.read_text_table(t.spark, path, _DEMO)
-
-
-@query("faers_members", """
-SELECT archive, prefix, member, quarter, concat(lower(prefix), '_', archive, '.txt') AS standard_name FROM (VALUES
-  ('faers_ascii_2024q1', 'DEMO', 'DEMO24Q1.txt', '2024q1'), ('faers_ascii_2024q1', 'OUTC', 'OUTC24Q1.txt', '2024q1'),
-  ('faers_ascii_2024q2', 'DEMO', 'demo24q2.txt', '2024q2')) m(archive, prefix, member, quarter)""")
+    """Two quarters: even reports in one order of columns, odd ones in another and with a column more."""
+    root = scratch_dir(t.spark, "faers-text")
+    _demo_lines(t.reports.where(_every(2)), _DEMO).write.options(**_DELIMITED).csv(f"{root}/q1")
+    other = ["event_dt", "primaryid", "occr_country", "sex", "age"]
+    _demo_lines(t.reports.where(_every(2, 1)), other).write.options(**_DELIMITED).csv(f"{root}/q2")
+    return faers.read_text_table(t.spark, [f"{root}/q1", f"{root}/q2"], _DEMO)
+
+
+@query("faers_members", O.using("reports", body="""
+SELECT CASE CAST(safetyreportid AS BIGINT) % 3 WHEN 0 THEN 'faers_ascii_2024q1' ELSE 'faers_ascii_2024q2' END AS archive,
+  safetyreportid AS primaryid, occurcountry AS occr_country
+FROM reports WHERE CAST(safetyreportid AS BIGINT) % 43 <> 0 AND CAST(safetyreportid AS BIGINT) % 3 <> 2"""))
 def faers_members(t: Tables) -> DataFrame:
+    """Rows of the demographic members of two archives; a later member and other tables lie beside them."""
     root = scratch_dir(t.spark, "faers-archives")
-    demo = _demo_lines(t)
-    demo.write.options(**_DELIMITED).csv(f"{root}/faers_ascii_2024q1/DEMO24Q1.txt")
-    demo.write.options(**_DELIMITED).csv(f"{root}/faers_ascii_2024q2/demo24q2.txt")
+    for rest, member in ((0, "faers_ascii_2024q1/DEMO24Q1.txt"), (1, "faers_ascii_2024q2/demo24q2.txt"),
+                         (2, "faers_ascii_2024q2/demo24q2_old.txt")):
+        _demo_lines(t.reports.where(_every(3, rest)), _DEMO).write.options(**_DELIMITED).csv(f"{root}/{member}")
     t.outcomes.write.options(sep="$", header=True).csv(f"{root}/faers_ascii_2024q1/OUTC24Q1.txt")
-    return faers.members(t.spark, root).select("archive", "prefix", "member", "quarter", "standard_name")
+    return faers.read_members(t.spark, root, "DEMO", ["primaryid", "occr_country"])
 
 
-_CSV = ["safetyreportid", "receivedate", "serious", "patientonsetage", "occurcountry", "drug_count"]
+_ODD_TEXTS = [" both ends ", "", "say \"hi\", twice", "two\nlines", "a,b", "back\\slash"]
 
 
-@query("csv_round_trip", O.using("reports", body=f"SELECT {', '.join(_CSV)} FROM reports"))
+@query("csv_round_trip", "SELECT doc_id, text, lang, source, n_chars FROM documents UNION ALL SELECT * FROM (VALUES " + ", ".join(
+    f"(CAST({-1 - i} AS BIGINT), '{text}', CAST(NULL AS VARCHAR), '', CAST({len(text)} AS BIGINT))"
+    for i, text in enumerate(_ODD_TEXTS)) + ") odd(doc_id, text, lang, source, n_chars)")
 def csv_round_trip(t: Tables) -> DataFrame:
-    rows = t.reports.select(*_CSV)
-    path = landing.zone_path(scratch_dir(t.spark, "zones"), "raw", "reports.csv")
+    """Documents, and rows with blanks at both ends, empty and missing text, quotes and line breaks."""
+    odd = [(-1 - i, text, None, "", len(text)) for i, text in enumerate(_ODD_TEXTS)]
+    docs = t.table("documents").select("doc_id", "text", "lang", "source", "n_chars")
+    rows = docs.unionByName(t.spark.createDataFrame(odd, docs.schema))
+    path = landing.zone_path(scratch_dir(t.spark, "zones"), "raw", "documents.csv")
     landing.write_csv(rows, path)
     return landing.read_csv(t.spark, path, rows.schema)
 
 
-def _zone(t: Tables) -> str:
-    root = scratch_dir(t.spark, "zones")
-    landing.write_csv(t.reports.select(*_CSV), landing.zone_path(root, "processed", "reports/batch.csv"))
-    landing.write_csv(t.studies, landing.zone_path(root, "processed", "studies/batch.csv"))
-    return f"{root}/processed"
-
-
-@query("list_zone_files")
-def list_zone_files(t: Tables) -> DataFrame:
-    return landing.list_files(t.spark, _zone(t), "reports/")
-
-
-@query("zone_file_info")
-def zone_file_info(t: Tables) -> DataFrame:
-    return landing.zone_files(t.spark, _zone(t))
-
-
 # Streams
 
 def _event_stream(t: Tables) -> DataFrame:
@@ -182,13 +178,15 @@ def stream_envelope(t: Tables) -> DataFrame:
     return E.envelope(rows, F.col("n"), F.col("ts"), start).select("event_id", "source", "stream_batch", "key")
 
 
-@query("stream_write_alerts")
+@query("stream_write_alerts", O.using("scored_events", body="""
+SELECT concat('ALERT_', event_id) AS key, concat('ALERT_', event_id) AS alert_id FROM scored_events WHERE prediction = 1"""))
 def stream_write_alerts(t: Tables) -> DataFrame:
     """Alert messages as the alert topic takes them, written to the file sink."""
-    scored = _scored_stream(t)
     stamp = F.lit("2024-02-01 00:00:00").cast("timestamp")
-    messages = external.as_messages(E.model_alerts(scored, stamp), F.col("alert_id"))
-    return jobs.drained(messages, "stream-alert-messages")
+    messages = external.as_messages(E.model_alerts(_stream_input(t, SCORED_EVENTS), stamp), F.col("alert_id"))
+    written = jobs.drained(messages, "stream-alert-messages")
+    return written.select(F.col("key").cast("string").alias("key"),
+                          F.get_json_object(F.col("value").cast("string"), "$.alert_id").alias("alert_id"))
 
 
 @query("stream_given_alerts", O.using("scored_events", body=f"""
@@ -233,9 +231,23 @@ def stream_rule_alerts(t: Tables) -> DataFrame:
     return store.read_table(t.spark, f"{base}/store", "safety_alerts").select(*_ALERT_ROW)
 
 
-@query("stream_bounded_run")
+@query("stream_two_writers", O.using("event_store", body="SELECT event_id FROM event_store"))
+def stream_two_writers(t: Tables) -> DataFrame:
+    """Two streams with checkpoints of their own, which number their batches alike, fill one store."""
+    base = scratch_dir(t.spark, "stream-writers")
+    now = F.lit("2024-02-01 00:00:00").cast("timestamp")
+    events = _stream_input(t, EVENT_STORE)
+    for rest in (0, 1):
+        part = events.where(F.col("event_id").cast("bigint") % 2 == rest).select("event_id", ID)
+        jobs.store_rule_alerts(part, f"{base}/store", f"{base}/checkpoint-{rest}", now)
+    return store.read_table(t.spark, f"{base}/store", "adverse_events").select("event_id")
+
+
+@query("stream_bounded_run", O.using("event_store", body="""
+SELECT TRUE AS enough, TRUE AS stopped_in_time, CAST(0 AS BIGINT) AS strangers"""))
 def stream_bounded_run(t: Tables) -> DataFrame:
-    """Events split over eight files, read two files per trigger until the event limit is reached."""
+    """Events split over eight files, read two files per trigger until half are seen: at least half come, at most one
+    trigger more than that, and none that was not sent."""
     base = scratch_dir(t.spark, "stream-bounded")
     t.event_store.repartition(8).write.parquet(f"{base}/in")
     stream = E.read_event_files(t.spark, f"{base}/in", t.event_store.schema, maxFilesPerTrigger=2)
@@ -243,7 +255,13 @@ def stream_bounded_run(t: Tables) -> DataFrame:
         stream.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint").start(f"{base}/out")
     )
     jobs.run_bounded(running, idle_seconds=20, max_events=t.event_store.count() // 2)
-    return t.spark.read.schema(t.event_store.schema).parquet(f"{base}/out")
+    got = t.spark.read.schema(t.event_store.schema).parquet(f"{base}/out")
+    sizes = t.event_store.agg(F.count(F.lit(1)).alias("sent"))
+    strangers = got.join(t.event_store, "event_id", "left_anti").agg(F.count(F.lit(1)))
+    return got.agg(F.count(F.lit(1)).alias("n")).select(
+        (F.col("n") >= F.floor(sizes.select(F.col("sent") / 2).scalar())).alias("enough"),
+        # The limit is looked at between triggers, so another one or two of two files each may have begun.
+        (F.col("n") <= sizes.select("sent").scalar()).alias("stopped_in_time"), strangers.scalar().alias("strangers"))
 
 
 # Models
@@ -255,7 +273,8 @@ class _Workspace:
         self.spark = spark
         self.root = scratch_dir(spark, "models")
         self.training_path = f"{self.root}/training"
-        ml.with_split(training_features(Tables(spark, folder))).write.parquet(self.training_path)
+        table = ml.with_split(stored_training(Tables(spark, folder)))
+        table.write.partitionBy("split").parquet(self.training_path)
         self.trained = ml.TrainedModels()
 
     def part(self, split: str) -> DataFrame:
@@ -295,59 +314,98 @@ def _models(t: Tables) -> _Workspace:
 
 
 def _validated(t: Tables, name: str) -> DataFrame:
-    """Validation metrics of one freshly or earlier trained model."""
+    """Validation of one freshly or earlier trained model: rows, and whether its accuracy keeps up with the larger class,
+    within five points, since the tables' classes are drawn at random."""
     work = _models(t)
     scored = ml.score(work.model(name), work.part("validation"))
-    return ml.classification_metrics(scored).select(
-        F.lit(name).alias("model_name"), "rows", "accuracy", "f1_score",
-        F.lit(work.trained.seconds[name]).alias("training_seconds"))
+    larger = F.greatest(F.col("serious"), F.col("rows") - F.col("serious")) / F.col("rows")
+    serious = work.part("validation").agg(F.count_if(F.col(ml.LABEL) == 1)).scalar()
+    return ml.classification_metrics(scored).withColumn("serious", serious).select(
+        F.lit(name).alias("model_name"), "rows", (F.col("accuracy") >= larger - 0.05).alias("keeps_up"))
+
+
+def _trained_sql(name: str) -> str:
+    return O.using("training_nested", extra={"sizes": _SPLIT_SIZES.replace("FROM training", "FROM training_nested")}, body=f"""
+SELECT '{name}' AS model_name, CAST(sum(validation) AS BIGINT) AS rows, TRUE AS keeps_up FROM sizes""")
 
 
-@query("train_random_forest")
+@query("train_random_forest", _trained_sql(ml.RANDOM_FOREST))
 def train_random_forest(t: Tables) -> DataFrame:
     return _validated(t, ml.RANDOM_FOREST)
 
 
-@query("train_gbt")
+@query("train_gbt", _trained_sql(ml.GRADIENT_BOOSTING))
 def train_gbt(t: Tables) -> DataFrame:
     return _validated(t, ml.GRADIENT_BOOSTING)
 
 
-@query("train_logistic")
+@query("train_logistic", _trained_sql(ml.LOGISTIC))
 def train_logistic(t: Tables) -> DataFrame:
     return _validated(t, ml.LOGISTIC)
 
 
-@query("evaluate_models")
-def evaluate_models(t: Tables) -> DataFrame:
-    work = _models(t)
-    return ml.evaluate(work.all_models(), work.part("test"))
+_MODEL_NAMES = [ml.RANDOM_FOREST, ml.GRADIENT_BOOSTING, ml.LOGISTIC]
+
+
+def _name_rows(columns: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{n}' AS model_name, {columns}" for n in _MODEL_NAMES)
 
 
-@query("best_model")
+@query("evaluate_models", _name_rows("TRUE AS counts_agree, TRUE AS auc_agrees"))
+def evaluate_models(t: Tables) -> DataFrame:
+    """Whether accuracy equals that of counted predictions, and the AUC the share of rightly ordered pairs by ranks."""
+    work = _models(t)
+    out = None
+    for row in ml.evaluate(work.all_models(), work.part("test")).collect():  # one row per model
+        scored = ml.score(work.model(row.model_name), work.part("test"))
+        by_score = scored.groupBy("confidence_serious").agg(
+            F.count_if(F.col(ml.LABEL) == 1).alias("p"), F.count_if(F.col(ml.LABEL) == 0).alias("n"),
+            F.count_if(F.col(ml.LABEL) == F.col("prediction")).alias("hit"))
+        # Equal scores share their places; pairs of them count half. One row per distinct score, in one check.
+        below = F.sum("n").over(Window.orderBy("confidence_serious")) - F.col("n")
+        sums = by_score.withColumn("pairs", F.col("p") * (below + F.col("n") / 2)).agg(
+            F.sum("pairs").alias("pairs"), F.sum("p").alias("p"), F.sum("n").alias("n"), F.sum("hit").alias("hit"))
+        one = sums.select(
+            F.lit(row.model_name).alias("model_name"),
+            (F.abs(F.col("hit") / (F.col("p") + F.col("n")) - row.accuracy) < 1e-6).alias("counts_agree"),
+            (F.abs(F.col("pairs") / (F.col("p") * F.col("n")) - row.roc_auc) < 1e-6).alias("auc_agrees"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("best_model", "SELECT TRUE AS has_highest_f1, CAST(1 AS BIGINT) AS rows")
 def best_model(t: Tables) -> DataFrame:
     work = _models(t)
-    return ml.best_model(ml.evaluate(work.all_models(), work.part("test")))
+    metrics = ml.evaluate(work.all_models(), work.part("test"))
+    highest = metrics.agg(F.max("f1_score")).scalar()
+    return ml.best_model(metrics).agg(F.bool_and(F.col("f1_score") == highest).alias("has_highest_f1"),
+                                      F.count(F.lit(1)).alias("rows"))
 
 
-@query("feature_importance")
+@query("feature_importance", "SELECT CAST(14 AS BIGINT) AS features, TRUE AS sums_to_one, TRUE AS top_ten_in_order")
 def feature_importance(t: Tables) -> DataFrame:
-    return ml.feature_importance(_models(t).model(ml.RANDOM_FOREST))
+    model = _models(t).model(ml.RANDOM_FOREST)
+    top = [r.importance for r in ml.feature_importance(model).collect()]  # ten rows
+    return ml.feature_importance(model, top=None).agg(
+        F.count_distinct("feature").alias("features"), (F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"),
+        F.lit(len(top) == 10 and top == sorted(top, reverse=True)).alias("top_ten_in_order"))
 
 
-@query("record_model_performance")
+@query("record_model_performance", " UNION ALL ".join(
+    f"SELECT '{n}' AS model_name, {str(n != ml.LOGISTIC).upper()} AS has_importances" for n in _MODEL_NAMES))
 def record_model_performance(t: Tables) -> DataFrame:
     work = _models(t)
-    metrics = ml.evaluate(work.all_models(), work.part("test"))
-    importance = ml.feature_importance(work.model(ml.RANDOM_FOREST), top=None)
-    rows = ml.performance_rows(metrics, importance, F.current_timestamp())
+    models = work.all_models()
+    rows = ml.performance_rows(ml.evaluate(models, work.part("test")), ml.importances(models), F.current_timestamp())
     root = scratch_dir(t.spark, "store")
     store.create_tables(t.spark, root, ["model_performance"])
     store.append_batch(store.conform(rows, "model_performance"), root, "model_performance", 0)
-    return store.read_table(t.spark, root, "model_performance")
+    stored = store.read_table(t.spark, root, "model_performance")
+    return stored.select("model_name", F.col("feature_importance").isNotNull().alias("has_importances"))
 
 
-@query("model_round_trip")
+@query("model_round_trip", O.using("training_nested", extra={"sizes": _SPLIT_SIZES.replace("FROM training", "FROM training_nested")},
+                                   body="SELECT TRUE AS equal, CAST(sum(test) AS BIGINT) AS rows FROM sizes"))
 def model_round_trip(t: Tables) -> DataFrame:
     """Predictions of the saved and reloaded pipeline next to those of the one in memory."""
     work = _models(t)
@@ -355,16 +413,23 @@ def model_round_trip(t: Tables) -> DataFrame:
     trained = ml.TrainedModels({ml.LOGISTIC: work.model(ml.LOGISTIC)})
     ml.save_models(trained, root)
     test = work.part("test")
-    before = ml.score(work.model(ml.LOGISTIC), test).select(ID, F.col("prediction").alias("before"))
-    after = ml.score(ml.load_model(root, ml.LOGISTIC), test).select(ID, F.col("prediction").alias("after"))
-    return before.join(after, ID)
+    before = ml.score(work.model(ml.LOGISTIC), test).select(ID, F.col("confidence_serious").alias("before"))
+    after = ml.score(ml.load_model(root, ml.LOGISTIC), test).select(ID, F.col("confidence_serious").alias("after"))
+    return before.join(after, ID).agg(F.bool_and(F.col("before") == F.col("after")).alias("equal"), F.count(F.lit(1)).alias("rows"))
 
 
-@query("score_events")
-def score_events(t: Tables) -> DataFrame:
-    scored = ml.score(_models(t).model(ml.GRADIENT_BOOSTING), t.event_fields)
+def _consistent(scored: DataFrame) -> DataFrame:
+    """Per event, whether label, flag and probabilities fit one another."""
+    p, q = F.col("confidence_serious"), F.col("confidence_non_serious")
     return scored.select(
-        "event_id", "prediction", "confidence_non_serious", "confidence_serious", "prediction_label", "high_confidence")
+        "event_id", (F.abs(p + q - 1) < 1e-9).alias("sums_to_one"), (F.col("prediction") == (p > q).cast("int")).alias("likelier_class"),
+        (F.col("high_confidence") == (F.greatest(p, q) > 0.8).cast(scored.schema["high_confidence"].dataType)).alias("flag_fits"))
+
+
+@query("score_events", O.using("event_fields", body=
+       "SELECT event_id, TRUE AS sums_to_one, TRUE AS likelier_class, TRUE AS flag_fits FROM event_fields"))
+def score_events(t: Tables) -> DataFrame:
+    return _consistent(ml.score(_models(t).model(ml.GRADIENT_BOOSTING), t.event_fields))
 
 
 def _scored_stream(t: Tables) -> DataFrame:
@@ -372,22 +437,41 @@ def _scored_stream(t: Tables) -> DataFrame:
     return ml.score(_models(t).model(ml.GRADIENT_BOOSTING), events)
 
 
-@query("stream_score")
+@query("stream_score", O.using("event_fields", body="SELECT event_id, TRUE AS as_in_batch FROM event_fields WHERE n % 50 <> 0"))
 def stream_score(t: Tables) -> DataFrame:
-    scored = _scored_stream(t).select("event_id", "prediction", "confidence_serious", "prediction_label")
-    return jobs.drained(scored, "stream-score")
+    """Streamed scores next to those of the same events in one batch."""
+    streamed = jobs.drained(_scored_stream(t).select("event_id", "prediction", "confidence_serious"), "stream-score")
+    batch = ml.score(_models(t).model(ml.GRADIENT_BOOSTING), t.event_fields).select(
+        "event_id", F.col("prediction").alias("p"), F.col("confidence_serious").alias("c"))
+    same = (F.col("prediction") == F.col("p")) & (F.abs(F.col("confidence_serious") - F.col("c")) < 1e-12)
+    return streamed.join(batch, "event_id").select("event_id", same.alias("as_in_batch"))
 
 
-@query("stream_alerts")
+@query("stream_alerts", "SELECT TRUE AS one_per_serious_event, CAST(0 AS BIGINT) AS strangers")
 def stream_alerts(t: Tables) -> DataFrame:
-    return jobs.drained(E.model_alerts(_scored_stream(t)), "stream-alerts")
+    """Alerts of the streamed model next to the events that it calls serious in one batch."""
+    alerts = jobs.drained(E.model_alerts(_scored_stream(t)), "stream-alerts").select(
+        F.regexp_replace("alert_id", "^ALERT_", "").alias("event_id"))
+    scored = ml.score(_models(t).model(ml.GRADIENT_BOOSTING), t.event_fields)
+    serious = scored.where((F.col("prediction") == 1) & (F.col("n") % 50 != 0)).select("event_id")
+    strangers = alerts.join(serious, "event_id", "left_anti").agg(F.count(F.lit(1))).scalar()
+    return serious.join(alerts.groupBy("event_id").count(), "event_id", "left").agg(
+        F.bool_and(F.coalesce(F.col("count") == 1, F.lit(False))).alias("one_per_serious_event")).select(
+        F.coalesce("one_per_serious_event", F.lit(True)).alias("one_per_serious_event"), strangers.alias("strangers"))
 
 
-@query("stream_stats")
+@query("stream_stats", O.using("scored_events", body="""
+SELECT COUNT(*) AS processed, SUM(CASE WHEN prediction = 1 THEN 1 ELSE 0 END)::BIGINT AS serious_predicted,
+  SUM(CASE WHEN prediction = 1 THEN 1 ELSE 0 END)::BIGINT AS alerts_sent,
+  round(SUM(CASE WHEN prediction = 1 THEN 1 ELSE 0 END) * CAST(100 AS DOUBLE) / COUNT(*), 6) AS serious_percent FROM scored_events"""))
 def stream_stats(t: Tables) -> DataFrame:
-    """Totals a running consumer reports, observed while the stream is scored."""
+    """Totals over more micro-batches than a query keeps reports of: given probabilities, one file per trigger."""
     base = scratch_dir(t.spark, "stream-stats")
-    scored = E.with_stats(_scored_stream(t)).select("event_id", "prediction")
-    run = jobs.drain_to_parquet(scored, f"{base}/out", f"{base}/checkpoint")
-    stats = jobs.run_stats(run)
-    return t.spark.createDataFrame([(k, float(v)) for k, v in stats.items()], "metric string, value double")
+    t.scored_events.repartition(101).write.parquet(f"{base}/in")
+    stream = E.read_event_files(t.spark, f"{base}/in", t.scored_events.schema, maxFilesPerTrigger=1)
+    with jobs.run_stats(t.spark) as stats:
+        jobs.drain_to_parquet(E.with_stats(stream).select("event_id", "prediction"), f"{base}/out", f"{base}/checkpoint")
+    totals = stats.totals()
+    names = ["processed", "serious_predicted", "alerts_sent"]
+    return t.spark.createDataFrame([tuple(totals[n] for n in names) + (round(totals["serious_percent"], 6),)],
+                                   ", ".join(f"{n} long" for n in names) + ", serious_percent double")

@@ -32,7 +32,7 @@ SCHEMAS = {
 REPORTS = """
 WITH li AS (
   SELECT l_orderkey, COUNT(*) AS drug_n, COUNT(DISTINCT p_type) AS reac_n,
-         MIN(p_name) AS drug1, MAX(p_name) AS drug2, MIN(p_type) AS reac1, MAX(p_type) AS reac2,
+         MIN(p_name) AS drug1, MIN(p_type) AS reac1,
          MIN(l_shipdate) AS ship1, CAST(SUM(l_quantity) AS BIGINT) AS qty
   FROM {lineitem} JOIN {part} ON l_partkey = p_partkey GROUP BY l_orderkey)
 SELECT CAST(o_orderkey AS VARCHAR(20)) AS safetyreportid,
@@ -53,8 +53,7 @@ SELECT CAST(o_orderkey AS VARCHAR(20)) AS safetyreportid,
   CAST(COALESCE(drug_n,0) AS INT) AS drug_count,
   CAST(COALESCE(reac_n,0) AS INT) AS reaction_count,
   CAST(o_custkey % 10 AS INT) AS outcome_severity,
-  drug1 AS medicinalproduct, drug2 AS secondproduct,
-  reac1 AS reactionmeddrapt, reac2 AS secondreaction,
+  drug1 AS medicinalproduct, reac1 AS reactionmeddrapt,
   CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE n_name END AS occurcountry,
   CASE WHEN o_orderkey % 23 = 0 THEN NULL ELSE n_name END AS primarysourcecountry
 FROM {orders} LEFT JOIN li ON o_orderkey = l_orderkey
@@ -62,6 +61,11 @@ FROM {orders} LEFT JOIN li ON o_orderkey = l_orderkey
   LEFT JOIN {nation} ON c_nationkey = n_nationkey
 """
 
+# The same rows with the sorted distinct lists of drugs and reactions, in Spark's words.
+REPORTS_LISTED = REPORTS.replace("MIN(p_name) AS drug1,", """MIN(p_name) AS drug1,
+         array_sort(collect_set(p_name)) AS drugs, array_sort(collect_set(p_type)) AS reactions,""").replace(
+    "drug1 AS medicinalproduct,", "drug1 AS medicinalproduct, drugs, reactions,")
+
 STUDIES = """
 SELECT concat('NCT', lpad(CAST(p_partkey AS VARCHAR(8)), 8, '0')) AS nctId, p_name AS briefTitle,
   CASE p_size % 7 WHEN 0 THEN 'PHASE1' WHEN 1 THEN 'PHASE2' WHEN 2 THEN 'PHASE3' WHEN 3 THEN 'PHASE4'
@@ -182,13 +186,15 @@ class Tables:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def _input(self, name: str) -> DataFrame:
-        text = INPUTS[name]
+        return self._bound(INPUTS[name])
+
+    def _bound(self, text: str) -> DataFrame:
         used = {t: self.table(t) for t in TABLE_NAMES if "{" + t + "}" in text}
         return self.spark.sql(text, **used)
 
     @cached_property
     def reports(self) -> DataFrame:
-        return self._input("reports").drop("secondproduct", "secondreaction")
+        return self._input("reports")
 
     @cached_property
     def studies(self) -> DataFrame:
@@ -230,11 +236,11 @@ class Tables:
 
     @cached_property
     def reports_nested(self) -> DataFrame:
-        """Reports in their nested landing form; drugs and reactions hold a report's first and last name."""
-        raw = self._input("reports")
+        """Reports in their nested landing form, with all their drugs and reactions."""
+        raw = self._bound(REPORTS_LISTED)
 
-        def structs(field: str, *names: str):
-            values = F.array_distinct(F.array_compact(F.array(*names)))
+        def structs(field: str, names: str):
+            values = F.coalesce(F.col(names), F.array().cast("array<string>"))
             return F.transform(values, lambda v: F.struct(v.alias(field)))
 
         flat = [
@@ -254,8 +260,8 @@ class Tables:
             F.struct(
                 "patientonsetage",
                 "patientweight",
-                structs("medicinalproduct", "medicinalproduct", "secondproduct").alias("drug"),
-                structs("reactionmeddrapt", "reactionmeddrapt", "secondreaction").alias("reaction"),
+                structs("medicinalproduct", "drugs").alias("drug"),
+                structs("reactionmeddrapt", "reactions").alias("reaction"),
             ).alias("patient"),
         )
 

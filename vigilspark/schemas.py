@@ -14,11 +14,12 @@ def _strings(*names: str) -> list[T.StructField]:
 REPORT_FLAT = T.StructType(_strings(
     "safetyreportid", "safetyreportversion", "serious", "seriousnessdeath", "seriousnesshospitalization",
     "seriousnesslifethreatening", "seriousnessdisabling", "seriousnesscongenitalanomali", "seriousnessother",
-    "receivedate", "receiptdate", "transmissiondate", "primarysourcecountry", "occurcountry",
+    "receivedate", "receiptdate", "transmissiondate", "primarysourcecountry", "occurcountry", "companynumb", "duplicate",
+    "reporttype",
 ))
 
 PATIENT = T.StructType(
-    _strings("patientonsetage", "patientweight")
+    _strings("patientonsetage", "patientweight", "patientsex")
     + [
         T.StructField("drug", T.ArrayType(T.StructType(_strings("medicinalproduct")))),
         T.StructField("reaction", T.ArrayType(T.StructType(_strings("reactionmeddrapt")))),
@@ -85,7 +86,7 @@ ADVERSE_EVENTS = _table(
 )
 
 SAFETY_ALERTS = _table(
-    ("event_id", _STRING), ("alert_type", _STRING), ("alert_level", _STRING),
+    ("alert_id", _STRING), ("event_id", _STRING), ("alert_type", _STRING), ("alert_level", _STRING),
     ("prediction_probability", _DOUBLE), ("model_version", _STRING), ("alert_message", _STRING),
     ("alert_data", _STRING), ("is_reviewed", T.BooleanType()), ("reviewed_by", _STRING),
     ("reviewed_at", _TS), ("created_at", _TS),

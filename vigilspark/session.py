@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-# Temporary folders of local sessions that name no shared one, by application.
-_LOCAL_ROOTS: dict[str, str] = {}
+# Scratch folders of this process's applications.
+_FOLDERS: set[str] = set()
 
 
 def build_session(app_name: str = "vigilspark", master: str | None = None, **conf: str) -> SparkSession:
@@ -27,25 +26,23 @@ def build_session(app_name: str = "vigilspark", master: str | None = None, **con
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local session may fall back to a temporary folder; a cluster without the setting is an error,
-    because files on one machine's disk are lost with that machine.
-    """
+    """The folder every executor can reach, as named by ``spark.checkpoint.dir``, else one in the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    application = spark.sparkContext.applicationId
-    if application not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[application] = tempfile.mkdtemp(prefix="vigilspark-")
-    return _LOCAL_ROOTS[application]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A path under the shared folder that nothing else uses."""
-    return f"{scratch_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A path under the shared folder that nothing else uses. All of an application's paths go when its driver ends."""
+    own = f"{scratch_root(spark)}/{spark.sparkContext.applicationId}"
+    if own not in _FOLDERS:
+        _FOLDERS.add(own)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own)
+        store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        store.mkdirs(path)
+        store.deleteOnExit(path)
+    return f"{own}/{purpose}-{uuid.uuid4().hex}"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -12,20 +12,67 @@ from .. import constants as K
 SEPARATOR = "$"
 
 
-def read_text_table(spark: SparkSession, path: str | list[str], columns: Sequence[str]) -> DataFrame:
-    """Rows of '$'-delimited UTF-8 files whose first line is the header.
+def _file_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Lines with their file and its first line, the header. Files with the same header need not be neighbours."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    # Within the first block of a file, lines are numbered in order.
+    first = lines.where("block = 0").withColumn("line", F.monotonically_increasing_id())
+    heads = first.groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    return lines.select("value", "file").join(heads, "file")
+
+
+def _parsed(lines: DataFrame, header: str) -> tuple[DataFrame, list[str]]:
+    """The rows of the files with this header, under its names.
 
     Rows with too many fields are skipped; short rows are kept and padded with nulls. Spark's CSV reader
     drops or keeps both kinds alike, and judges a row by the columns a query happens to use, so the delimiters
     of each line are counted before the line is parsed.
     """
-    lines = spark.read.text(path).where((F.col("value") != SEPARATOR.join(columns)) & (F.col("value") != ""))
+    names = [c.strip() for c in header.split(SEPARATOR)]
+    own = lines.where((F.col("header") == header) & (F.col("value") != header) & (F.col("value") != ""))
     # Quoted fields may hold a delimiter, so they are blanked before counting.
     bare = F.when(F.contains("value", F.lit('"')), F.regexp_replace("value", '"[^"]*"', "")).otherwise(F.col("value"))
     delimiters = F.length(bare) - F.length(F.replace(bare, F.lit(SEPARATOR), F.lit("")))
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    fitting = lines.where(delimiters <= len(columns) - 1)
-    return fitting.select(F.from_csv("value", schema, {"sep": SEPARATOR, "mode": "PERMISSIVE"}).alias("row")).select("row.*")
+    schema = ", ".join(f"`c{i}` string" for i in range(len(names)))
+    row = F.from_csv("value", schema, {"sep": SEPARATOR, "mode": "PERMISSIVE"})
+    return own.where(delimiters <= len(names) - 1).select("file", row.alias("row")), names
+
+
+def read_text_table(
+    spark: SparkSession, path: str | list[str], columns: Sequence[str] | None = None, with_file: bool = False
+) -> DataFrame:
+    """Rows of '$'-delimited UTF-8 files, each read by its own first line, the header.
+
+    Files may order their columns differently or have more of them. Columns are matched by name, in any case; a file
+    without one of them gives nulls there. Without ``columns`` all columns of all files come, in order of appearance.
+    """
+    lines = _file_lines(spark, path)
+    # As many rows as there are different headers among the files.
+    headers = sorted(r.header for r in lines.select("header").distinct().collect())
+    read = [_parsed(lines, h) for h in headers]
+    wanted = list(columns) if columns is not None else list(dict.fromkeys(n for _, names in read for n in names))
+    extra = ["file"] if with_file else []
+    out = None
+    for rows, names in read:
+        place = {n.lower(): i for i, n in reversed(list(enumerate(names)))}
+        one = rows.select(*extra, *[
+            (F.col(f"row.c{place[c.lower()]}") if c.lower() in place else F.lit(None).cast("string")).alias(c) for c in wanted])
+        out = one if out is None else out.unionByName(one)
+    if out is None:
+        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in [*extra, *wanted]) or "file string")
+    return out
+
+
+def read_members(
+    spark: SparkSession, root: str, prefix: str, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """The rows of one table over all unpacked archives below ``root``, from the member chosen in each, with the archive."""
+    chosen = members(spark, root, [prefix.upper()]).collect()  # one row per archive
+    base = root.rstrip("/") + "/"
+    rows = read_text_table(spark, [r.path for r in chosen], columns, with_file=True)
+    archive = F.get(F.split(F.substring_index(F.col("file"), base, -1), "/"), 0)
+    return rows.select(archive.alias("archive"), *[c for c in rows.columns if c != "file"])
 
 
 def members(spark: SparkSession, root: str, prefixes: Sequence[str] = K.FAERS_DEFAULT_TABLES) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.columns import named
 from ..schemas import REPORT_PAGE, STUDY_PAGE
 
 
@@ -30,38 +29,19 @@ def zone_path(root: str, zone: str, key: str) -> str:
     return f"{root}/{'raw' if zone == 'raw' else 'processed'}/{key}"
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
-
-
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header row and a declared schema, so no extra pass infers types."""
-    return spark.read.schema(schema).option("header", True).csv(path)
-
+# Every value is quoted, so blanks at the ends, quotes and line breaks come back; this text alone stands for null.
+NULL_TEXT = "\\N"
+_CSV = {"header": True, "quote": '"', "escape": '"', "nullValue": NULL_TEXT, "emptyValue": "",
+        "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
-_CONTENT_TYPES = {"csv": "text/csv", "json": "application/json", "txt": "text/plain"}
-
-
-def zone_files(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
-    """Files below a zone as key, size, last_modified and content_type; contents are not read."""
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-        .select("path", "length", "modificationTime")
-    )
-    key = F.substring_index(F.col("path"), root.rstrip("/") + "/", -1)
-    suffix = F.lower(F.substring_index(F.col("path"), ".", -1))
-    kinds = F.create_map(*[F.lit(x) for pair in _CONTENT_TYPES.items() for x in pair])
-    return files.select(
-        key.alias("key"),
-        F.col("length").alias("size"),
-        F.col("modificationTime").alias("last_modified"),
-        F.coalesce(kinds[suffix], F.lit("unknown")).alias("content_type"),
-    ).where(F.startswith(named("key"), F.lit(prefix)))
 
+def write_csv(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").options(**_CSV, quoteAll=True).csv(path)
 
-def list_files(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
-    return zone_files(spark, root, prefix).select("key")
 
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = True) -> DataFrame:
+    """CSV with a header row and a declared schema, so no extra pass infers types.
 
-def file_info(spark: SparkSession, root: str, key: str) -> DataFrame:
-    return zone_files(spark, root, key).where(named("key") == key)
+    Values may hold line breaks; ``multiline=False`` is for files without any, which Spark can then split.
+    """
+    return spark.read.schema(schema).options(**_CSV, multiLine=multiline).csv(path)

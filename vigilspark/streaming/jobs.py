@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+import threading
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..operators import rules, store
 from ..operators.columns import named
@@ -54,6 +58,74 @@ def drain_updates(stream: DataFrame, base: str, key: str) -> DataFrame:
     return latest.select("row.*")
 
 
+class RunStats(StreamingQueryListener):
+    """Totals of one query over all its micro-batches, readable while it runs.
+
+    A query keeps only its latest progress reports; this listener adds up every one as it comes.
+    """
+
+    def __init__(self, metrics: str = "stream_stats"):
+        self.metrics = metrics
+        self.batches: dict[int, tuple[int, int, int, int]] = {}
+        self.query_id: str | None = None
+        self.ended = threading.Event()
+
+    def follow(self, query: StreamingQuery) -> RunStats:
+        """Count this query only, with the reports it still has from before."""
+        self.query_id = str(query.id)
+        for progress in query.recentProgress:
+            self._add(json.loads(progress.json))
+        return self
+
+    def _add(self, progress) -> None:
+        found = (progress.get("observedMetrics") or {}).get(self.metrics)
+        seen = (found["processed"], found["serious_predicted"]) if found is not None else (0, 0)
+        rows = progress["numInputRows"]
+        if rows or any(seen):
+            self.batches[progress["batchId"]] = (rows, *seen, progress["durationMs"].get("triggerExecution", 0))
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        if self.query_id in (None, str(event.progress.id)):
+            self._add(json.loads(event.progress.json))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if self.query_id in (None, str(event.id)):
+            self.ended.set()
+
+    @property
+    def rows(self) -> int:
+        return sum(x[0] for x in self.batches.values())
+
+    def totals(self) -> dict[str, float]:
+        processed, serious, millis = (sum(x[k] for x in self.batches.values()) for k in (1, 2, 3))
+        minutes = millis / 60000
+        return {
+            "processed": processed,
+            "serious_predicted": serious,
+            "alerts_sent": serious,
+            "serious_percent": serious * 100.0 / processed if processed else 0.0,
+            "events_per_minute": processed / minutes if minutes else 0.0,
+        }
+
+
+@contextmanager
+def run_stats(spark: SparkSession, metrics: str = "stream_stats", settle_seconds: float = 10.0) -> Iterator[RunStats]:
+    """Count what the one query started inside the block does; the block's end waits for its last report."""
+    listener = RunStats(metrics)
+    spark.streams.addListener(listener)
+    try:
+        yield listener
+        listener.ended.wait(settle_seconds)
+    finally:
+        spark.streams.removeListener(listener)
+
+
 def run_bounded(
     query: StreamingQuery, idle_seconds: float = 30.0, max_events: int | None = None, poll_seconds: float = 0.5
 ) -> int:
@@ -61,69 +133,63 @@ def run_bounded(
 
     Returns the number of events processed. The limit is checked between micro-batches.
     """
-    seen: dict[int, int] = {}
-    last_news = time.monotonic()
-    while query.isActive:
-        for progress in query.recentProgress:
-            if progress["numInputRows"] > 0 and progress["batchId"] not in seen:
-                seen[progress["batchId"]] = progress["numInputRows"]
-                last_news = time.monotonic()
-        done = max_events is not None and sum(seen.values()) >= max_events
-        if done or time.monotonic() - last_news > idle_seconds:
-            break
-        time.sleep(poll_seconds)
-    query.stop()
-    return sum(seen.values())
-
-
-def rule_store_writer(root: str, now: Column | None = None) -> Callable[[DataFrame, int], None]:
+    with run_stats(SparkSession.active()) as seen:
+        seen.follow(query)
+        news, count = time.monotonic(), seen.rows
+        while query.isActive:
+            if seen.rows > count:
+                news, count = time.monotonic(), seen.rows
+            if (max_events is not None and seen.rows >= max_events) or time.monotonic() - news > idle_seconds:
+                break
+            time.sleep(poll_seconds)
+        query.stop()
+    return seen.rows
+
+
+def rule_store_writer(root: str, now: Column | None = None, writer: str = "rules") -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that scores a micro-batch and appends its events, then its alerts.
 
     Both appends are keyed: an event id the store already has is not stored again, and an event gets one
-    alert. A replayed micro-batch rewrites its own folders, so it ignores what it wrote before.
+    alert. Of one micro-batch's rows with the same id the first to arrive counts. A replayed micro-batch rewrites its
+    own folders, so it ignores what this writer wrote in this batch before, and nothing else. Alerts without an event
+    in the store are left out.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        assessed = rules.assessed_with_source(batch).persist()
-        for name, rows in (
-            ("adverse_events", rules.rule_event_rows(assessed, now)),
-            ("safety_alerts", rules.rule_alerts(assessed, now)),
-        ):
-            earlier = store.read_table(spark, root, name).where(named(store.BATCH) != F.lit(str(batch_id)))
-            fresh = store.insert_ignore(store.conform(rows, name, now), earlier, order="created_at")
-            store.append_batch(fresh, root, name, batch_id)
-        assessed.unpersist()
+        # Rows of a micro-batch come in the order of their partitions, which the sources fill in order.
+        assessed = rules.assessed_with_source(batch).withColumn("_arrival", F.monotonically_increasing_id()).persist()
+        try:
+            own = store.batch_name(writer, batch_id)
+            for name, rows in (
+                ("adverse_events", rules.rule_event_rows(assessed, now, "_arrival")),
+                ("safety_alerts", rules.rule_alerts(assessed, now, "_arrival")),
+            ):
+                earlier = store.read_table(spark, root, name).where(named(store.BATCH) != F.lit(own))
+                formed = store.conform(rows, name, now, keep=("_arrival",))
+                fresh = store.insert_ignore(formed, earlier, order="_arrival").drop("_arrival")
+                if name == "safety_alerts":
+                    fresh = store.alerts_with_event(fresh, store.read_table(spark, root, "adverse_events"))
+                store.append_batch(fresh, root, name, batch_id, writer)
+        finally:
+            assessed.unpersist()
 
     return write
 
 
-def store_rule_alerts(stream: DataFrame, root: str, checkpoint: str, now: Column | None = None) -> StreamingQuery:
-    """Score a stream by rules and keep events and alerts in the store."""
+def store_rule_alerts(
+    stream: DataFrame, root: str, checkpoint: str, now: Column | None = None, writer: str | None = None
+) -> StreamingQuery:
+    """Score a stream by rules and keep events and alerts in the store.
+
+    The writer's name keeps its batches apart from those of other streams; unless given it is made from the checkpoint,
+    since batch numbers start again with a new one.
+    """
     store.create_tables(stream.sparkSession, root, store.DAILY)
+    name = writer or "stream" + hashlib.md5(checkpoint.encode()).hexdigest()[:12]
     query = (
-        stream.writeStream.foreachBatch(rule_store_writer(root, now)).option("checkpointLocation", checkpoint)
+        stream.writeStream.foreachBatch(rule_store_writer(root, now, name)).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
     return query
-
-
-def run_stats(query: StreamingQuery, name: str = "stream_stats") -> dict[str, float]:
-    """Totals of a finished or running query, from the metrics it observed per micro-batch."""
-    processed = serious = 0
-    millis = 0
-    for progress in query.recentProgress:
-        metrics = progress["observedMetrics"].get(name)
-        if metrics is not None:
-            processed += metrics["processed"]
-            serious += metrics["serious_predicted"]
-        millis += progress["durationMs"].get("triggerExecution", 0)
-    minutes = millis / 60000
-    return {
-        "processed": processed,
-        "serious_predicted": serious,
-        "alerts_sent": serious,
-        "serious_percent": serious * 100.0 / processed if processed else 0.0,
-        "events_per_minute": processed / minutes if minutes else 0.0,
-    }
