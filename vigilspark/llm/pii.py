@@ -43,16 +43,17 @@ def _starts(lengths: Column) -> Column:
     """Running sums before each element. Blocks keep the copying that array accumulation costs away from long lists."""
     blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / BLOCK).cast("int")),
                          lambda b: F.slice(lengths, b * BLOCK + 1, BLOCK))
-    zero = F.lit(0).cast("long")
 
     def of_block(block: Column, before: Column) -> Column:
         empty = F.struct(before.alias("at"), F.array().cast("array<bigint>").alias("out"))
         return F.aggregate(block, empty, lambda acc, x: F.struct(
-            (acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))["out"]
+            (acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))
 
-    sums = F.transform(blocks, lambda b: F.aggregate(b, zero, lambda a, x: a + x))
-    return F.flatten(F.transform(blocks, lambda b, k: of_block(
-        b, F.aggregate(F.slice(sums, F.lit(1), k), zero, lambda a, x: a + x))))
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<array<bigint>>").alias("out"))
+    summed = F.aggregate(blocks, start, lambda acc, block: F.struct(
+        of_block(block, acc["at"])["at"].alias("at"),
+        F.concat(acc["out"], F.array(of_block(block, acc["at"])["out"])).alias("out")))
+    return F.when(F.size(lengths) == 0, F.array().cast("array<bigint>")).otherwise(F.flatten(summed["out"]))
 
 
 def _digits(text: Column) -> Column:
@@ -92,19 +93,15 @@ def _holds(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def _found(kind: str, gaps: Column, values: Column) -> Column:
+def _found(kind: str, gaps: Column, values: Column, begins: Column) -> Column:
     """Spans of one kind. What lies between the matches gives their places and the words before them."""
-    count = F.size(values)
-    lengths = F.transform(values, lambda v, i: (F.length(F.get(gaps, i)) + F.length(v)).cast("long"))
-    begins = _starts(lengths)
     rows = F.transform(values, lambda v, i: F.struct(
         F.lit(kind).alias("kind"), (F.get(begins, i) + F.length(F.get(gaps, i))).alias("start"),
         (F.get(begins, i) + F.length(F.get(gaps, i)) + F.length(v)).alias("end"), v.alias("value"),
         (F.lit(BASE_SCORE[kind]) + F.when(
             F.rlike(F.lower(F.right(F.get(gaps, i), F.lit(CONTEXT_CHARS))), F.lit(CONTEXT[kind])),
             F.lit(CONTEXT_BONUS)).otherwise(F.lit(0.0))).alias("score")))
-    empty = F.array().cast(SPAN)
-    return F.when(count == 0, empty).otherwise(F.filter(rows, lambda s: _holds(kind, s["value"])))
+    return F.when(F.size(values) == 0, F.array().cast(SPAN)).otherwise(F.filter(rows, lambda s: _holds(kind, s["value"])))
 
 
 def find(docs: DataFrame, *, text: str = "text", kinds: list[str] = KINDS) -> DataFrame:
@@ -119,8 +116,16 @@ def find(docs: DataFrame, *, text: str = "text", kinds: list[str] = KINDS) -> Da
         F.split(body, PATTERNS[kind], -1).alias(f"{kind}_gaps"),
         F.regexp_extract_all(body, F.lit(PATTERNS[kind]), F.lit(0)).alias(f"{kind}_values"))])
     cut = evaluated_once(docs.drop("pii"), {"_pii_parts": parts})
-    spans = F.concat(*[_found(k, F.col(f"_pii_parts.{k}_gaps"), F.col(f"_pii_parts.{k}_values")) for k in kinds])
-    return evaluated_once(cut, {"pii": spans}).drop("_pii_parts")
+    # What a lambda refers to is evaluated for each element, so the places are columns of their own.
+    begins = {f"_pii_{k}": _starts(F.transform(f"_pii_parts.{k}_values", _with_gap(k))) for k in kinds}
+    placed = evaluated_once(cut, begins)
+    spans = F.concat(*[_found(k, F.col(f"_pii_parts.{k}_gaps"), F.col(f"_pii_parts.{k}_values"), F.col(f"_pii_{k}"))
+                       for k in kinds])
+    return evaluated_once(placed, {"pii": spans}).drop("_pii_parts", *begins)
+
+
+def _with_gap(kind: str):
+    return lambda value, i: (F.length(F.get(F.col(f"_pii_parts.{kind}_gaps"), i)) + F.length(value)).cast("long")
 
 
 def redact(docs: DataFrame, *, text: str = "text", spans: str = "pii") -> DataFrame:
