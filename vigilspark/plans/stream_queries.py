@@ -313,6 +313,11 @@ def _models(t: Tables) -> _Workspace:
     return _workspace(t.spark.sparkContext.applicationId, t.folder)
 
 
+def prepare_models(t: Tables) -> None:
+    """Write the training table that all model queries read."""
+    _models(t)
+
+
 def _validated(t: Tables, name: str) -> DataFrame:
     """Validation of one freshly or earlier trained model: rows, and whether its accuracy keeps up with the larger class,
     within five points, since the tables' classes are drawn at random."""
