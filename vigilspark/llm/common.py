@@ -17,6 +17,7 @@ from vigilspark.session import ensure_checkpoint_dir, scratch_dir
 
 # Memory that one Python worker lends to its cache of words.
 CACHE_ENTRIES = 400_000
+GROUP_CHARS = 1_000_000
 _SHIPPED: set[str] = set()
 
 
@@ -77,6 +78,19 @@ def with_columns(df: DataFrame, text: str, fields: list[T.StructField], make: Ca
     return rest.mapInArrow(run, T.StructType([*rest.schema.fields, *fields]))
 
 
+def groups(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """Runs of texts of about ``GROUP_CHARS`` characters, which bounds what is split into words at once."""
+    group, size = [], 0
+    for t in texts:
+        group.append(t)
+        size += len(t or "")
+        if size >= GROUP_CHARS:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
 class Forest:
     """Connected parts of the numbers 0..n-1."""
 

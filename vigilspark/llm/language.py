@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import CACHE_ENTRIES, fold, kept, with_columns
+from .common import CACHE_ENTRIES, fold, groups, kept, with_columns
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 UNKNOWN = "und"
@@ -38,31 +41,48 @@ def words_of(text: str | None) -> list[str]:
     return LETTERS.findall(text.lower()) if text else []
 
 
-def forward(word: str, table: dict, langs: int, longest: int) -> list[float]:
-    """Per language, the log of the summed probability of all segmentations of ``▁word``."""
-    word = "▁" + word
-    scale = 0
-    rows = [[1.0] * langs]
+def forward(words: list[str], table: dict, langs: int, longest: int) -> Iterator[tuple[str, list[float]]]:
+    """Per word, and per language, the log of the summed probability of all segmentations of ``▁word``.
+
+    The words are taken in order, since the sums up to a common beginning serve all words that share it. Sums are lifted
+    when they become tiny; ``lifts`` counts how often along the present word.
+    """
     every = range(langs)
-    for end in range(1, len(word) + 1):
-        row = [0.0] * langs
-        for start in range(max(0, end - longest), end):
-            p = table.get(word[start:end])
-            if p is not None:
-                before = rows[start]
-                for k in every:
-                    row[k] += before[k] * p[k]
-        if word[end - 1] not in table:
-            before = rows[end - 1]
-            for k in every:
-                row[k] += before[k] * UNSEEN
-        rows.append(row)
-        if max(row) < SMALL:  # lift the rows that later ones still reach
-            scale += 1
-            for old in rows[-longest:]:
+    known = table.get
+    before_word, rows, lifts = "", [[1.0] * langs], [0]
+    for word in sorted(words):
+        marked = "▁" + word
+        same = 0
+        for x, y in zip(marked, before_word, strict=False):
+            if x != y:
+                break
+            same += 1
+        if lifts[-1]:  # lifted rows are changed in place, so they serve no other word
+            same = 0
+        del rows[same + 1 :], lifts[same + 1 :]
+        before_word = marked
+        for end in range(same + 1, len(marked) + 1):
+            row = [0.0] * langs
+            for start in range(max(0, end - longest), end):
+                p = known(marked[start:end])
+                if p is not None:
+                    before = rows[start]
+                    for k in every:
+                        row[k] += before[k] * p[k]
+            if marked[end - 1] not in table:
+                before = rows[end - 1]
                 for k in every:
-                    old[k] *= LARGE
-    return [math.log(max(x, 1e-300)) - scale * math.log(LARGE) for x in rows[-1]]
+                    row[k] += before[k] * UNSEEN
+            rows.append(row)
+            lifts.append(lifts[-1])
+            if max(row) < SMALL:
+                lifts[-1] += 1
+                for old in rows[-longest:]:
+                    for k in every:
+                        old[k] *= LARGE
+        yield word, [math.log(max(x, 1e-300)) - lifts[-1] * math.log(LARGE) for x in rows[-1]]
+        if lifts[-1]:
+            before_word, rows, lifts = "", [[1.0] * langs], [0]
 
 
 def expected_pieces(word: str, table: dict, longest: int) -> dict[str, float]:
@@ -88,20 +108,35 @@ def expected_pieces(word: str, table: dict, longest: int) -> dict[str, float]:
     return counts
 
 
+@dataclass
+class Model:
+    """Languages in order of name and, per piece, one probability per language. ``mark`` names the model in caches."""
+
+    langs: list[str]
+    table: dict[str, tuple[float, ...]]
+    mark: str
+
+
+# Sums of words already seen by this Python worker, for the model it last used.
+_CACHE: dict[str, dict[str, list[float]]] = {}
+
+
 def fit(labelled: DataFrame, *, text: str = "text", lang: str = "lang", key: str = "doc_id", per_language: int = 500,
-        rounds: int = 2, vocabulary: str = VOCABULARY) -> tuple[list[str], dict[str, tuple[float, ...]]]:
-    """Languages and, per piece, one probability per language, by expectation maximisation.
+        rounds: int = 2, vocabulary: str = VOCABULARY) -> Model:
+    """A model by expectation maximisation.
 
-    At most ``per_language`` documents of each language are read, those with the smallest hashes of their keys. Rows with
-    null text or language are left out. What comes to the driver is one number per piece of the vocabulary and language.
+    About ``per_language`` documents of each language are read, drawn by a hash of their keys. Rows with null text or
+    language are left out, as are null keys. What comes to the driver is one number per piece of the vocabulary and language.
     """
     pieces = load_pieces(vocabulary)
     longest = max(map(len, pieces))
-    rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
+    rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull()).select(
         F.col(key).alias("k"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("k"), "k")
-    chosen = rows.select("k", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language)
-    sample = rows.join(chosen.select("k", "lang").distinct(), ["k", "lang"], "left_semi")
+    # The model holds every language on the driver, so their counts fit there, too.
+    shares = {r.lang: per_language / r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if shares:
+        share = F.element_at(F.create_map(*[F.lit(x) for pair in shares.items() for x in pair]), F.col("lang"))
+        rows = rows.where(F.pmod(F.xxhash64("k"), F.lit(1 << 20)) < share * (1 << 20))
 
     def count(batches):
         seen: dict[str, Counter] = {}
@@ -113,7 +148,7 @@ def fit(labelled: DataFrame, *, text: str = "text", lang: str = "lang", key: str
                 [pa.array([name] * len(found), pa.string()), pa.array(list(found), pa.string()),
                  pa.array(list(found.values()), pa.int64())], names=["lang", "word", "n"])
 
-    counted = sample.select("lang", "text").mapInArrow(count, "lang string, word string, n long")
+    counted = rows.select("lang", "text").mapInArrow(count, "lang string, word string, n long")
     counted = kept(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")), "language-words")
     langs = sorted(r.lang for r in counted.select("lang").distinct().collect())
     tables = {name: dict.fromkeys(pieces, 1.0 / len(pieces)) for name in langs}
@@ -141,41 +176,42 @@ def fit(labelled: DataFrame, *, text: str = "text", lang: str = "lang", key: str
         for name, own in fresh.items():
             total = sum(own.values())
             tables[name] = {p: x / total for p, x in own.items()}
-    return langs, {p: tuple(tables[name][p] for name in langs) for p in pieces}
+    return Model(langs, {p: tuple(tables[name][p] for name in langs) for p in pieces}, uuid.uuid4().hex)
 
 
-def identify(docs: DataFrame, model, *, text: str = "text") -> DataFrame:
+def identify(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
     """All columns of ``docs``, with ``lang_pred`` and ``score``, the posterior of that language under equal priors.
 
     Null texts, texts without a letter and any text under a model without languages get ``und`` and 0. Languages that tie
     are taken in order of name. Columns called ``lang_pred`` or ``score`` are replaced.
     """
-    langs, table = model
-    longest = max(map(len, table), default=1)
-
     def make():
-        cache: dict[str, list[float]] = {}
-
-        def judge(body):
-            words = words_of(body)
-            if not words or not langs:
+        langs, table = model.langs, model.table
+        longest = max(map(len, table), default=1)
+        if model.mark not in _CACHE:
+            _CACHE.clear()
+            _CACHE[model.mark] = {}
+        cache = _CACHE[model.mark]
+
+        def judge(counts: Counter):
+            if not counts or not langs:
                 return UNKNOWN, 0.0
             sums = [0.0] * len(langs)
-            for word, n in Counter(words).items():
-                logs = cache.get(word)
-                if logs is None:
-                    logs = forward(word, table, len(langs), longest)
-                    if len(cache) >= CACHE_ENTRIES:
-                        cache.clear()
-                    if len(word) <= 64:
-                        cache[word] = logs
-                for k, x in enumerate(logs):
+            for word, n in counts.items():
+                for k, x in enumerate(cache[word]):
                     sums[k] += n * x
             best = max(range(len(langs)), key=lambda k: sums[k])
             return langs[best], 1.0 / sum(math.exp(x - sums[best]) for x in sums)
 
         def work(texts):
-            got = [judge(x) for x in texts]
+            got = []
+            for group in groups(texts):
+                counts = [Counter(words_of(t)) for t in group]
+                if len(cache) > CACHE_ENTRIES:
+                    cache.clear()
+                fresh = {w for c in counts for w in c if w not in cache} if langs else ()
+                cache.update(forward(list(fresh), table, len(langs), longest))
+                got += [judge(c) for c in counts]
             return [pa.array([x[0] for x in got], pa.string()), pa.array([x[1] for x in got], pa.float64())]
 
         return work

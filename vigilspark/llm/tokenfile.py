@@ -25,15 +25,15 @@ from pyspark.sql import functions as F
 
 from vigilspark.session import scratch_dir
 
-from .common import CACHE_ENTRIES, kept
+from .common import CACHE_ENTRIES, groups, kept
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 LENGTH = 2048
 BATCH_SEQUENCES = 64
 # Documents of about this many bytes make one shard.
 SHARD_BYTES = 16 << 20
-# Words that the library encodes in one call, and characters of text that are split at once.
-JOINED, GROUP_CHARS = 500, 1_000_000
+# Words that the library encodes in one call.
+JOINED = 500
 # Texts of these characters alone are split here before their pieces are looked up; others go to the library whole.
 PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-\xac\xae-ſ]*\Z")
 LETTERS, NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ſ", "0-9²³¹¼½¾"
@@ -80,7 +80,7 @@ class PieceEncoder:
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of whole texts as bytes of ``kind``; null is empty."""
-        for group in _groups(texts):
+        for group in groups(texts):
             split = [PIECES.findall(t) if t and PLAIN.match(t) and not any(s in t for s in self.special) else None
                      for t in group]
             known = self.pieces
@@ -94,19 +94,6 @@ class PieceEncoder:
                     yield b"".join([known[p] for p in pieces])
 
 
-def _groups(texts: list[str | None]) -> Iterator[list[str | None]]:
-    """Runs of texts of about a million characters."""
-    group, size = [], 0
-    for t in texts:
-        group.append(t)
-        size += len(t or "")
-        if size >= GROUP_CHARS:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
-
-
 _ENCODERS: dict[str, PieceEncoder] = {}
 
 
