@@ -52,7 +52,7 @@ def test_language_held_out_accuracy(spark):
 
 def test_language_odd_rows(spark):
     model = language.Model(["de", "en"], {"▁a": (0.5, 0.4), "a": (0.1, 0.2), "▁": (0.1, 0.1)}, "test")
-    rows = [(1, None, "x"), (2, "", "x"), (3, "12 !?", "x"), (None, "a a", "x"), (5, "a" * 100_000, "x"), (5, "a" * 100_000, "x")]
+    rows = [(1, None, "x"), (2, "", "x"), (3, "12 !? ²", "x"), (None, "a a", "x"), (5, "a" * 100_000, "x"), (5, "a" * 100_000, "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, score string")
     got = rows_of(language.identify(docs, model).select("doc_id", "lang_pred", "score"))
     assert [x[1] for x in sorted(got, key=str)] == ["und", "und", "und", "en", "en", "de"]

@@ -194,7 +194,8 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
         cache = _CACHE[model.mark]
 
         def judge(counts: Counter):
-            if not counts or not langs:
+            # The runs may consist of other numerals, such as superscripts, alone.
+            if not langs or not any(c.isalpha() for word in counts for c in word):
                 return UNKNOWN, 0.0
             sums = [0.0] * len(langs)
             for word, n in counts.items():
