@@ -139,7 +139,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     """
     ids = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(key).agg(F.max(label).alias("label"))
     ids = ids.orderBy(F.xxhash64(key), key).limit(sample)
-    rows = docs.where(F.col(text).isNotNull()).select(key, F.col(text).alias("text")).join(ids, key)
+    # At most ``sample`` ids, so they are broadcast and the texts stay where they are.
+    rows = docs.where(F.col(text).isNotNull()).select(key, F.col(text).alias("text")).join(F.broadcast(ids), key)
 
     def make():
         every = Terms()
