@@ -29,8 +29,9 @@ from .common import kept
 
 LENGTH = 200
 GRAM = 32
-# Window starts handled at once, which bounds memory for very long texts; places fit into PLACE_BITS.
-CHUNK = 4 << 20
+# Window starts of one piece of a text. A task handles pieces of twice as many bytes at once, with some ten numbers of eight
+# bytes for each place, which bounds its memory for very long texts; places fit into PLACE_BITS.
+CHUNK = 1 << 19
 PLACE_BITS = 24
 # Entries that one task scans, stretches that one task compares, and the number of stretches from which the windows of
 # one suffix are dealt out singly.
