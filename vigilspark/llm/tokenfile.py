@@ -86,12 +86,19 @@ class PieceEncoder:
             known = self.pieces
             if len(known) >= CACHE_ENTRIES:
                 known.clear()
-            self._learn(list({p for pieces in split if pieces for p in pieces if p not in known}))
+            place, learned = known.__getitem__, False
             for text, pieces in zip(group, split, strict=True):
                 if pieces is None:
                     yield self._encoded(text) if text else b""
-                else:
-                    yield b"".join([known[p] for p in pieces])
+                    continue
+                try:
+                    ids = b"".join(map(place, pieces))
+                except KeyError:  # a group's new pieces are looked for only when its texts hold one
+                    if learned:
+                        raise
+                    self._learn(list({p for some in split if some for p in some if p not in known}))
+                    learned, ids = True, b"".join(map(place, pieces))
+                yield ids
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
