@@ -9,7 +9,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,6 +56,31 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def running(df: DataFrame, order: list[Column], amount: str, name: str) -> DataFrame:
+    """``df`` with ``name``, the sum of ``amount`` over all rows that come before in the order.
+
+    Rows are dealt out by ranges of the order and added up where they lie; only the ranges' totals, one row a task, meet in
+    one place.
+    """
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    place = df.columns.index(amount)
+    fields = [*df.schema.fields, T.StructField("_inner", T.LongType()), T.StructField("_part", T.IntegerType())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, total = TaskContext.get().partitionId(), 0
+        for b in batches:
+            n = b.column(place).to_numpy()
+            ends = np.cumsum(n) + total
+            total = int(ends[-1]) if len(n) else total
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ends - n, pa.int64()), pa.array(np.full(len(n), part, np.int32))],
+                                             names=[f.name for f in fields])
+
+    stored = kept(dealt.mapInArrow(run, T.StructType(fields)), "running-sums")
+    totals = stored.groupBy("_part").agg(F.max(F.col("_inner") + F.col(amount)).alias("_sum"))
+    earlier = totals.select("_part", (F.sum("_sum").over(Window.orderBy("_part")) - F.col("_sum")).alias("_earlier"))
+    return stored.join(F.broadcast(earlier), "_part").select(*df.columns, (F.col("_earlier") + F.col("_inner")).alias(name))
+
+
 def fold(doc_id: str, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; null for a null id."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts

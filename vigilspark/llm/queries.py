@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, htmltext, language, multiindex, pii, repeats, simhash, tokenfile, toxicity
+from . import bpe, decontaminate, htmltext, language, merkle, mixing, multiindex, pii, repeats, simhash, spelling, sql, tokenfile, toxicity
 from .common import read
 
 
@@ -46,6 +46,21 @@ def op10_decontaminate(spark, sf_dir):
     return decontaminate.op10_decontaminate(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op11_spelling(spark, sf_dir):
+    """Words of all documents with their frequent forms, roots and numbers of near words."""
+    return spelling.op11_spelling(spark, read(spark, sf_dir, "documents"))
+
+
+def op12_mixing(spark, sf_dir):
+    """All documents with their source's target and the words taken of them."""
+    return mixing.op12_mixing(spark, read(spark, sf_dir, "documents"))
+
+
+def op13_merkle(spark, sf_dir):
+    """All documents as leaves of a Merkle tree by language, with proofs and their check."""
+    return merkle.op13_merkle(spark, read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_main_text, op2_toxicity, op3_token_files, op4_bpe, op5_simhash, op6_language, op7_pii, op8_vectors,
-                                     op9_repeats, op10_decontaminate)}
-ORACLES: dict[str, str] = {}
+                                     op9_repeats, op10_decontaminate, op11_spelling, op12_mixing, op13_merkle)}
+ORACLES: dict[str, str] = {"op11_spelling": sql.SPELLING, "op12_mixing": sql.MIXING, "op13_merkle": sql.MERKLE}
