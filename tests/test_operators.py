@@ -3,6 +3,7 @@
 import collections
 import datetime
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -200,7 +201,54 @@ def test_store_tables(spark, tmp_path):
     assert [(r.event_id, r.safetyreportid, r.created_day) for r in dashboard.collect()] == [
         ("e1", None, datetime.date(2024, 5, 1))]
     scan = dashboard._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(created_day" in scan
+    assert re.search(r"PartitionFilters: \[[^\]]*isnotnull\(created_day", scan)
+
+
+def test_keyed_insert_reads_the_buckets_of_its_keys(spark, tmp_path):
+    root = str(tmp_path / "store")
+    rows = store.conform(spark.range(5000).select(F.format_string("e%d", "id").alias("event_id")), "adverse_events")
+    store.append_batch(rows, root, "adverse_events", 0)
+    batch = spark.createDataFrame([(f"e{i}",) for i in range(4995, 5005)] + [(None,)], "event_id string")
+    keys = store.read_keys(spark, root, "adverse_events", batch)
+    plan = keys._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*key_bucket#\d+ IN \(", plan) and "ReadSchema: struct<event_id:string>" in plan
+    files = {f for f in keys.inputFiles()}
+    wanted = {r.b for r in batch.where("event_id IS NOT NULL").select(store.key_bucket("event_id").alias("b")).collect()}
+    read = keys.select(F.input_file_name().alias("f")).distinct().collect()
+    assert 1 < len(wanted) <= 10 and len(read) <= len(wanted) < store.KEY_BUCKETS and len(files) >= len(read)
+    fresh = store.insert_ignore(batch.withColumn("created_at", F.lit(1)), keys, "created_at")
+    assert sorted((r.event_id or "") for r in fresh.collect()) == ["", "e5000", "e5001", "e5002", "e5003", "e5004"]
+
+
+def test_tables_of_a_batch_appear_together(spark, tmp_path):
+    root = str(tmp_path / "store")
+    events = store.conform(spark.createDataFrame([("e1",), ("e2",)], "event_id string"), "adverse_events")
+    alert = "event_id string, alert_type string, alert_level string"
+    good = store.conform(spark.createDataFrame([("e1", "T", "HIGH")], alert), "safety_alerts")
+    bad = store.conform(spark.createDataFrame([("e2", "T", None)], alert), "safety_alerts")
+
+    def sizes():
+        return [store.read_table(spark, root, n).count() for n in store.DAILY] + [
+            store.read_keys(spark, root, n).count() for n in store.DAILY]
+
+    store.create_tables(spark, root)
+    with pytest.raises(Exception, match="alert_level may not be null"):
+        store.write_batch({"adverse_events": events, "safety_alerts": bad}, root, 0)
+    assert sizes() == [0, 0, 0, 0]
+
+    def die():
+        raise RuntimeError("died")
+
+    with pytest.raises(RuntimeError, match="died"):
+        store.write_batch({"adverse_events": events, "safety_alerts": good}, root, 0, before_commit=die)
+    assert sizes() == [0, 0, 0, 0] and not store.is_committed(spark, root, store.DAILY, 0, "bulk")
+    store.write_batch({"adverse_events": events, "safety_alerts": good}, root, 0)
+    assert sizes() == [2, 1, 2, 1] and store.is_committed(spark, root, store.DAILY, 0, "bulk")
+    store.append_batch(events, root, "adverse_events", 0)  # a batch of one table is another one
+    assert sizes() == [4, 1, 4, 1]
+    with pytest.raises(RuntimeError, match="died"):  # what a failed attempt replaces is not shown either
+        store.write_batch({"adverse_events": events, "safety_alerts": good}, root, 0, before_commit=die)
+    assert sizes() == [2, 0, 2, 0]
 
 
 def test_recent_alerts_and_stats(spark):

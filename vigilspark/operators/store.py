@@ -1,14 +1,18 @@
 """Event and alert tables: creation, keyed appends, integrity checks and the dashboard queries.
 
-A store is a folder of Parquet tables. Every append writes a folder of its own, ``ingest_batch=<writer>-<id>``, and
-replaces that folder when the same writer writes the same batch again: a retried or replayed batch leaves one copy, and
-writers that number their batches alike keep apart. Events and alerts are further divided by day of creation, so that
-the dashboard queries read only the days they ask for. ``compact`` folds the batches of a table into one.
+A store is a folder. ``tables/<name>`` says which tables it has. A batch of rows, of one table or of several at once, is one
+partitioned write below ``batches``, in a folder named by its tables, its writer and its number; it becomes visible when its
+row appears below ``commits``, which is written last. So all tables of a batch appear together or not at all, and the same
+writer's same batch leaves one copy, however often it is tried.
+
+Within a batch, rows are divided by table and, for events and alerts, by day of creation, so that the dashboard queries read
+only the days they ask for. The keys of keyed tables are kept once more, divided by a hash of the key: an insert reads only
+the keys that share a bucket with its own. ``compact`` folds the batches of a table into one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,31 +22,68 @@ from ..functions.dates import report_day
 from ..schemas import STORE_TABLES
 from .columns import named
 
-BATCH = "ingest_batch"
-DAY = "created_day"
+SCOPE, BATCH = "batch_tables", "ingest_batch"
+TABLE, DAY, BUCKET = "table_name", "created_day", "key_bucket"
 DAILY = ("adverse_events", "safety_alerts")
+# Keyed tables, and the parts into which their keys are divided.
+KEYS = {"adverse_events": "event_id", "safety_alerts": "event_id"}
+KEY_BUCKETS = 32
+_COMMIT = T.StructType([T.StructField("committed_at", T.TimestampType())])
 
 # Columns that no row may leave empty.
 REQUIRED = {"safety_alerts": ("alert_type", "alert_level")}
 
 
-def _layout(name: str) -> list[T.StructField]:
-    day = [T.StructField(DAY, T.DateType())] if name in DAILY else []
-    return [T.StructField(BATCH, T.StringType()), *day]
-
-
 def create_tables(spark: SparkSession, root: str, names: Sequence[str] = tuple(STORE_TABLES)) -> None:
     """Create the tables, all four unless told otherwise, where they do not exist yet."""
     for name in names:
-        empty = spark.createDataFrame([], T.StructType(STORE_TABLES[name].fields + _layout(name)))
-        folders = [f.name for f in _layout(name)]
-        empty.write.mode("ignore").partitionBy(*folders).parquet(f"{root}/{name}")
+        spark.createDataFrame([], STORE_TABLES[name]).write.mode("ignore").parquet(f"{root}/tables/{name}")
+    commits = T.StructType([*_COMMIT.fields, *[T.StructField(c, T.StringType()) for c in (SCOPE, BATCH)]])
+    spark.createDataFrame([], commits).write.mode("ignore").partitionBy(SCOPE, BATCH).parquet(f"{root}/commits")
+
+
+def committed(spark: SparkSession, root: str) -> list[tuple[str, str]]:
+    """Tables and name of every batch that is complete: one entry per batch, which ``compact`` keeps few."""
+    schema = T.StructType([*_COMMIT.fields, *[T.StructField(c, T.StringType()) for c in (SCOPE, BATCH)]])
+    rows = spark.read.schema(schema).parquet(f"{root}/commits").select(SCOPE, BATCH).collect()
+    return sorted((r[0], r[1]) for r in rows)
+
+
+def _read(spark: SparkSession, root: str, part: str, fields: list[T.StructField]) -> DataFrame:
+    # Which batches are complete is settled before their files are listed, so none is seen half.
+    paths = [f"{root}/batches/{SCOPE}={scope}/{BATCH}={batch}" for scope, batch in committed(spark, root)
+             if part.removesuffix(_INDEX) in scope.split("+")]
+    layout = [T.StructField(c, T.StringType()) for c in (SCOPE, BATCH, TABLE)] + [
+        T.StructField(DAY, T.DateType()), T.StructField(BUCKET, T.IntegerType())]
+    schema = T.StructType([*fields, *layout])
+    if not paths:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).option("basePath", f"{root}/batches").parquet(*paths)
+    return rows.where(F.col(TABLE) == part)
+
+
+_INDEX = "_keys"
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A table with its declared columns, its batch and, where it has one, its day of creation."""
-    schema = T.StructType(STORE_TABLES[name].fields + _layout(name))
-    return spark.read.schema(schema).parquet(f"{root}/{name}")
+    """A table with its declared columns, its batch and, where it has one, its day of creation. Complete batches alone."""
+    rows = _read(spark, root, name, list(STORE_TABLES[name].fields))
+    return rows.drop(SCOPE, TABLE, BUCKET, *([] if name in DAILY else [DAY]))
+
+
+def key_bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(named(key)), F.lit(KEY_BUCKETS)).cast("int")
+
+
+def read_keys(spark: SparkSession, root: str, name: str, batch: DataFrame | None = None) -> DataFrame:
+    """The keys of a keyed table. With a ``batch`` of rows, only those that share a bucket with one of its keys: the buckets,
+    at most ``KEY_BUCKETS`` numbers, become a partition filter, so no other key is read."""
+    key = KEYS[name]
+    stored = _read(spark, root, name + _INDEX, [STORE_TABLES[name][key]])
+    if batch is not None:
+        wanted = batch.where(named(key).isNotNull()).select(key_bucket(key).alias("b")).distinct().collect()
+        stored = stored.where(F.col(BUCKET).isin([r.b for r in wanted]))
+    return stored.select(key)
 
 
 def conform(rows: DataFrame, name: str, now: Column | None = None, keep: Sequence[str] = ()) -> DataFrame:
@@ -73,24 +114,68 @@ def batch_name(writer: str, batch_id: str | int) -> str:
     return f"{writer}-{batch_id}"
 
 
-def append_batch(rows: DataFrame, root: str, name: str, batch_id: str | int, writer: str = "bulk") -> None:
-    """Append rows as one batch of a writer; the same writer's same batch is replaced, whatever days it held.
+def _scope(names: Sequence[str]) -> str:
+    return "+".join(sorted(names))
 
-    Rows without a required value are an error of the job. Daily tables are rebalanced by day first: a day's rows then lie in few files, and adaptive execution
-    splits a day that holds more than its share over several tasks.
-    """
+
+def is_committed(spark: SparkSession, root: str, names: Sequence[str], batch_id: str | int, writer: str) -> bool:
+    return (_scope(names), batch_name(writer, batch_id)) in committed(spark, root)
+
+
+def _complete(rows: DataFrame, name: str) -> DataFrame:
+    """The rows of a table; one without a required value is an error of the job."""
     for column in REQUIRED.get(name, ()):
         missing = F.raise_error(F.lit(f"{name}.{column} may not be null")).cast(rows.schema[column].dataType)
         rows = rows.withColumn(column, F.coalesce(named(column), missing))
-    _replace(rows, name, f"{root}/{name}/{BATCH}={batch_name(writer, batch_id)}")
+    return rows
+
 
+def _laid_out(rows: DataFrame, name: str) -> DataFrame:
+    """A table's rows and, if it is keyed, its keys, with the folders they belong to."""
+    day = F.to_date("created_at") if name in DAILY else F.lit(None).cast("date")
+    data = rows.withColumns({TABLE: F.lit(name), DAY: day, BUCKET: F.lit(None).cast("int")})
+    if name not in KEYS:
+        return data
+    key = KEYS[name]
+    keys = rows.where(named(key).isNotNull()).select(key).withColumns(
+        {TABLE: F.lit(name + _INDEX), DAY: F.lit(None).cast("date"), BUCKET: key_bucket(key)})
+    return data.unionByName(keys, allowMissingColumns=True)
 
-def _replace(rows: DataFrame, name: str, target: str) -> None:
+
+def write_batch(parts: Mapping[str, DataFrame], root: str, batch_id: str | int, writer: str = "bulk",
+                before_commit: Callable[[], None] | None = None) -> None:
+    """Append rows to several tables as one batch of a writer; the same writer's same batch is replaced.
+
+    All rows are one write, rebalanced by folder first: a folder's rows then lie in few files, and adaptive execution splits
+    one that holds more than its share over several tasks. A run that ends before the commit, in the write or in
+    ``before_commit``, leaves nothing that ``read_table`` shows.
+    """
+    scope, own = _scope(list(parts)), batch_name(writer, batch_id)
+    spark = next(iter(parts.values())).sparkSession
+    create_tables(spark, root, list(parts))
+    commit = f"{root}/commits/{SCOPE}={scope}/{BATCH}={own}"
+
+    def sign(row: list) -> None:
+        spark.createDataFrame(row, _COMMIT).select(F.current_timestamp().alias("committed_at")).coalesce(1).write.mode(
+            "overwrite").parquet(commit)
+
+    if (scope, own) in committed(spark, root):
+        sign([])  # what is about to be replaced is no longer shown
+    rows = None
+    for name, part in parts.items():
+        one = _laid_out(_complete(part, name), name)
+        rows = one if rows is None else rows.unionByName(one, allowMissingColumns=True)
     # Under dynamic overwrite a replay on another day would leave the first one's days in place.
-    if name in DAILY:
-        rows = rows.withColumn(DAY, F.to_date("created_at")).hint("rebalance", DAY)
-    write = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (write.partitionBy(DAY) if name in DAILY else write).parquet(target)
+    rows.hint("rebalance", TABLE, DAY, BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        TABLE, DAY, BUCKET).parquet(f"{root}/batches/{SCOPE}={scope}/{BATCH}={own}")
+    if before_commit is not None:
+        before_commit()
+    sign([(None,)])
+
+
+def append_batch(rows: DataFrame, root: str, name: str, batch_id: str | int, writer: str = "bulk") -> None:
+    """Append rows to one table as one batch of a writer; the same writer's same batch is replaced, whatever days it held."""
+    write_batch({name: rows}, root, batch_id, writer)
 
 
 def compact(spark: SparkSession, root: str, name: str, into: str) -> DataFrame:
@@ -119,6 +204,7 @@ def insert_ignore(batch: DataFrame, stored: DataFrame, order: str, key: str = "e
 
     Of the store only the keys of this batch are kept before the anti join. Both are equi-joins on the key; adaptive
     execution broadcasts the batch's keys where they are few. ``order`` is the column that says which row came first.
+    ``stored`` need hold no more than the keys that ``read_keys`` gives for the batch.
     """
     first = first_per_key(batch.where(named(key).isNotNull()), key, order)
     present = stored.select(key).join(first.select(key), key, "left_semi").distinct()

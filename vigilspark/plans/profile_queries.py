@@ -423,7 +423,8 @@ def bulk_insert_ignore(t: Tables) -> DataFrame:
     store.append_batch(store.conform(t.event_store.where(number % 3 == 0), name), root, name, 0)
     half = store.conform(t.event_store.where(number % 2 == 0), name)
     later = half.withColumns({"serious": F.lit(9), "created_at": F.col("created_at") + F.expr("INTERVAL 1 HOUR")})
-    fresh = store.insert_ignore(half.unionByName(later), store.read_table(t.spark, root, name), "created_at")
+    batch = half.unionByName(later)
+    fresh = store.insert_ignore(batch, store.read_keys(t.spark, root, name, batch), "created_at")
     store.append_batch(fresh, root, name, 1)
     return _stored_events(t, root)
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import cache
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..operators import ml, nested, store
+from ..operators import ml, nested, rules, store
 from ..operators.columns import named
 from ..operators.features import score_features
 from ..schemas import EVENT_MESSAGE
@@ -243,6 +244,50 @@ def stream_two_writers(t: Tables) -> DataFrame:
     return store.read_table(t.spark, f"{base}/store", "adverse_events").select("event_id")
 
 
+_PHASE_SQL = """SELECT '{0}' AS phase, COUNT(*) AS events, COUNT(*) FILTER (WHERE risk_score >= CAST(0.5 AS DOUBLE)) AS alerts,
+  CAST(0 AS BIGINT) AS alerts_missing, CAST(0 AS BIGINT) AS orphans FROM ruled_events WHERE {1}"""
+
+
+@query("stream_crash_between_tables", O.using("ruled_events", body=" UNION ALL ".join([
+    _PHASE_SQL.format("crashed", "CAST(event_id AS BIGINT) % 2 = 0"), _PHASE_SQL.format("restarted", "TRUE")])))
+def stream_crash_between_tables(t: Tables) -> DataFrame:
+    """A store job that dies with the rows of both tables written and its batch not committed: the store shows neither
+    events nor alerts of that batch, and both after a restart."""
+    base = scratch_dir(t.spark, "stream-crash")
+    now = F.lit("2024-02-01 00:00:00").cast("timestamp")
+    rows = t.rule_events
+
+    def run(before_commit=None) -> None:
+        stream = E.read_event_files(t.spark, f"{base}/in", rows.schema)
+        jobs.store_rule_alerts(stream, f"{base}/store", f"{base}/checkpoint", now, "crash", before_commit)
+
+    def die() -> None:
+        raise RuntimeError("the job dies between write and commit")
+
+    def phase(name: str) -> DataFrame:
+        events, alerts = (store.read_table(t.spark, f"{base}/store", n) for n in store.DAILY)
+        serious = events.join(ruled, "event_id").where("risk >= 0.5").select("event_id")
+        counts = [events.agg(F.count(F.lit(1))), alerts.agg(F.count(F.lit(1))),
+                  serious.join(alerts, "event_id", "left_anti").agg(F.count(F.lit(1))),
+                  alerts.join(events, "event_id", "left_anti").agg(F.count(F.lit(1)))]
+        names = ["events", "alerts", "alerts_missing", "orphans"]
+        return t.spark.range(1).select(F.lit(name).alias("phase"), *[c.scalar().alias(n) for c, n in zip(counts, names)])
+
+    ruled = rules.assessed_with_source(rows).select("event_id", F.col("risk_score").alias("risk"))
+    number = F.col("event_id").cast("bigint")
+    rows.where(number % 2 == 0).write.parquet(f"{base}/in")
+    run()
+    rows.where(number % 2 == 1).write.mode("append").parquet(f"{base}/in")
+    try:
+        run(die)
+    except StreamingQueryException:
+        crashed = phase("crashed")
+    else:
+        raise RuntimeError("the failure was not noticed")
+    run()
+    return crashed.unionByName(phase("restarted"))
+
+
 @query("stream_bounded_run", O.using("event_store", body="""
 SELECT TRUE AS enough, TRUE AS stopped_in_time, CAST(0 AS BIGINT) AS strangers"""))
 def stream_bounded_run(t: Tables) -> DataFrame:

@@ -146,31 +146,32 @@ def run_bounded(
     return seen.rows
 
 
-def rule_store_writer(root: str, now: Column | None = None, writer: str = "rules") -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that scores a micro-batch and appends its events, then its alerts.
+def rule_store_writer(root: str, now: Column | None = None, writer: str = "rules",
+                      before_commit: Callable[[], None] | None = None) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that scores a micro-batch and appends its events and alerts together.
 
     Both appends are keyed: an event id the store already has is not stored again, and an event gets one
-    alert. Of one micro-batch's rows with the same id the first to arrive counts. A replayed micro-batch rewrites its
-    own folders, so it ignores what this writer wrote in this batch before, and nothing else. Alerts without an event
-    in the store are left out.
+    alert. Of one micro-batch's rows with the same id the first to arrive counts. Of the store only the keys that share a
+    bucket with the micro-batch's are read. Alerts without an event in the store are left out. Both tables are one batch of
+    the store, so a run that dies on the way shows neither, and a replayed micro-batch that was committed changes nothing.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        store.create_tables(spark, root, store.DAILY)
+        if store.is_committed(spark, root, store.DAILY, batch_id, writer):
+            return
         # Rows of a micro-batch come in the order of their partitions, which the sources fill in order.
         assessed = rules.assessed_with_source(batch).withColumn("_arrival", F.monotonically_increasing_id()).persist()
         try:
-            own = store.batch_name(writer, batch_id)
-            for name, rows in (
-                ("adverse_events", rules.rule_event_rows(assessed, now, "_arrival")),
-                ("safety_alerts", rules.rule_alerts(assessed, now, "_arrival")),
-            ):
-                earlier = store.read_table(spark, root, name).where(named(store.BATCH) != F.lit(own))
-                formed = store.conform(rows, name, now, keep=("_arrival",))
-                fresh = store.insert_ignore(formed, earlier, order="_arrival").drop("_arrival")
-                if name == "safety_alerts":
-                    fresh = store.alerts_with_event(fresh, store.read_table(spark, root, "adverse_events"))
-                store.append_batch(fresh, root, name, batch_id, writer)
+            events = store.conform(rules.rule_event_rows(assessed, now, "_arrival"), "adverse_events", now, keep=("_arrival",))
+            alerts = store.conform(rules.rule_alerts(assessed, now, "_arrival"), "safety_alerts", now, keep=("_arrival",))
+            known = store.read_keys(spark, root, "adverse_events", events)
+            warned = store.read_keys(spark, root, "safety_alerts", alerts)
+            new_events = store.insert_ignore(events, known, order="_arrival").drop("_arrival")
+            new_alerts = store.insert_ignore(alerts, warned, order="_arrival").drop("_arrival")
+            new_alerts = store.alerts_with_event(new_alerts, known.unionByName(new_events.select("event_id")))
+            store.write_batch({"adverse_events": new_events, "safety_alerts": new_alerts}, root, batch_id, writer, before_commit)
         finally:
             assessed.unpersist()
 
@@ -178,7 +179,8 @@ def rule_store_writer(root: str, now: Column | None = None, writer: str = "rules
 
 
 def store_rule_alerts(
-    stream: DataFrame, root: str, checkpoint: str, now: Column | None = None, writer: str | None = None
+    stream: DataFrame, root: str, checkpoint: str, now: Column | None = None, writer: str | None = None,
+    before_commit: Callable[[], None] | None = None,
 ) -> StreamingQuery:
     """Score a stream by rules and keep events and alerts in the store.
 
@@ -188,7 +190,7 @@ def store_rule_alerts(
     store.create_tables(stream.sparkSession, root, store.DAILY)
     name = writer or "stream" + hashlib.md5(checkpoint.encode()).hexdigest()[:12]
     query = (
-        stream.writeStream.foreachBatch(rule_store_writer(root, now, name)).option("checkpointLocation", checkpoint)
+        stream.writeStream.foreachBatch(rule_store_writer(root, now, name, before_commit)).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
