@@ -53,6 +53,13 @@ def test_models(spark, table, tmp_path):
     rows = metrics.collect()
     assert [r.model_name for r in rows] == [ml.RANDOM_FOREST, ml.GRADIENT_BOOSTING, ml.LOGISTIC]
     assert all(0 <= r.roc_auc <= 1 and r.accuracy > 0.7 for r in rows)
+    for r in rows:  # one pass for all models gives what each model's own rows give
+        scored = ml.score(trained.models[r.model_name], test)
+        alone = ml.classification_metrics(scored).first()
+        assert (r.accuracy, r.precision, r.recall, r.f1_score) == (alone.accuracy, alone.precision, alone.recall, alone.f1_score)
+        assert abs(r.roc_auc - ml.roc_auc(scored)) < 1e-9
+    plan = ml.scored_by_all(trained, test)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan
     best = ml.best_model(metrics).collect()
     assert len(best) == 1 and best[0].f1_score == max(r.f1_score for r in rows)
 

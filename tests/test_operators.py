@@ -8,7 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from vigilspark.operators import encoding, filters, nested, profile, store
+from vigilspark.operators import encoding, filters, nested, profile, ranking, store
 from vigilspark.operators.columns import named
 
 
@@ -60,6 +60,32 @@ def test_balanced_sample(spark):
     assert sorted(tuple(r) for r in got) == sorted(want)
 
 
+def test_ranks_and_running_sums(spark):
+    rng = random.Random(4)
+    rows = [(rng.randrange(30) if i % 3 else 7, i, rng.randrange(4)) for i in range(900)]
+    df = spark.createDataFrame(rows, "k int, i int, n long").repartition(6)
+    order = [F.col("k"), F.col("i")]
+    want, total = [], 0
+    for rank, (k, i, n) in enumerate(sorted(rows)):
+        want.append((k, i, n, rank, total))
+        total += n
+    ranked = ranking.with_rank(df, order)
+    assert sorted(map(tuple, ranked.collect())) == [w[:4] for w in want]
+    assert sorted(map(tuple, ranking.with_running_sum(df, order, "n").collect())) == [(*w[:3], w[4]) for w in want]
+    assert ranking.with_rank(df.limit(0), order).count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 299, 300, 301, 555, 899, 900, 5000])
+def test_first_rows_of_a_hot_value(spark, n):
+    rows = [(7 if i % 3 == 0 else i % 10, f"{i % 450:04d}", i) for i in range(900)]
+    df = spark.createDataFrame(rows, "k int, name string, i int").repartition(5)
+    got = ranking.first_rows(df, {"_k": F.col("k")}, ["name"], n)
+    want = sorted(rows, key=lambda r: (r[0], r[1]))[:n]
+    assert got.columns == df.columns and sorted((r.k, r.name) for r in got.collect()) == sorted(r[:2] for r in want)
+    if 0 < n < 900:
+        assert "SinglePartition" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_top_codes_match_brute_force_on_skewed_values(spark):
     rng = random.Random(7)
     values = ["HOT"] * 700 + [None] * 300 + [rng.choice("abcdefghijklmnop") for _ in range(1000)]

@@ -1,8 +1,10 @@
 """Landed pages, delimited text, CSV zones and file listings."""
 
 import pytest
+from pyspark.sql import types as T
 
 from vigilspark import session
+from vigilspark.operators import nested
 from vigilspark.sources import faers, landing
 
 
@@ -18,6 +20,26 @@ def test_report_pages(spark, tmp_path):
     assert rows[0].patient.drug[0].medicinalproduct == "A" and rows[1].patient.reaction == []
 
 
+def test_pages_keep_fields_that_no_schema_declares(spark, tmp_path):
+    (tmp_path / "p1.json").write_text("""{"meta": 1, "results": [
+      {"id": "1", "a b": {"c.d": [1, 2.5], "none": null}, "mix": 1, "n": 5, "void": {}, "OBJECT": "o"},
+      {"id": "2", "mix": "s", "OBJECT<q": {"VOID": true}, "list": [{"k": "v"}, {"l": 2}], "n": 10000000000}]}""")
+    (tmp_path / "p2.json").write_text('{"results": [{"id": "3", "mix": {"x": 1}, "a b": {"late": "z"}}]}')
+    for k, other in enumerate(['{"results": []}', '{"error": "none"}', '{"results": {"id": "no list"}}', '{"results": "text"}']):
+        (tmp_path / f"q{k}.json").write_text(other)
+    records = landing.read_page_records(spark, str(tmp_path))
+    rows = {r.id: r.asDict(recursive=True) for r in nested.normalize_records(records).collect()}
+    assert set(rows) == {"1", "2", "3"}
+    assert set(rows["1"]) == {"id", "a b.c.d", "a b.none", "a b.late", "mix", "n", "void", "OBJECT", "OBJECT<q.VOID", "list"}
+    assert [float(x) for x in rows["1"]["a b.c.d"]] == [1.0, 2.5] and rows["1"]["void"] == "{}" and rows["1"]["OBJECT"] == "o"
+    assert [rows[k]["mix"] for k in "123"] == ["1", '"s"', '{"x":1}'] and [rows[k]["n"] for k in "123"] == [5, 10000000000, None]
+    assert rows["2"]["OBJECT<q.VOID"] is True and rows["2"]["list"] == [{"k": "v", "l": None}, {"k": None, "l": 2}]
+    assert rows["3"]["a b.late"] == "z" and rows["3"]["a b.none"] is None
+    some = nested.normalize_records(records, schema=T.StructType([T.StructField("id", T.StringType())]))
+    assert sorted(r.id for r in some.collect()) == ["1", "2", "3"] and some.columns == ["id"]
+    assert nested.normalize_records(records.limit(0)).columns == []
+
+
 def test_study_pages(spark, tmp_path):
     (tmp_path / "s.json").write_text("""{"studies": [{"protocolSection": {
       "identificationModule": {"nctId": "N1"}, "designModule": {"phases": ["PHASE1", "PHASE2"]}}}, {}]}""")
@@ -75,6 +97,20 @@ def test_faers_files_with_headers_of_their_own(spark, tmp_path):
     assert faers.read_text_table(spark, str(tmp_path / "b.txt")).columns == ["dose", "sex", "ID"]
 
 
+def test_faers_files_of_many_headers_are_one_scan(spark, tmp_path):
+    names = ["id", "drug", "dose", "route"]
+    want = []
+    for k in range(8):
+        order = names[k % 4 :] + names[: k % 4] + [f"extra{k}"] * (k % 3)
+        (tmp_path / f"f{k}.txt").write_text("$".join(order) + "\n" + "".join(
+            "$".join(f"{c}-{k}-{i}" for c in order) + "\n" for i in range(5)))
+        want += [tuple(f"{c}-{k}-{i}" for c in names) for i in range(5)]
+    rows = faers.read_text_table(spark, str(tmp_path), names)
+    assert sorted(map(tuple, rows.collect())) == sorted(want)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [value") == 2  # the headers, and the lines
+
+
 def test_scratch_folder(spark):
     assert session.scratch_dir(spark, "a") != session.scratch_dir(spark, "a")
     assert session.scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")

@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from vigilspark import constants as K
@@ -113,6 +115,50 @@ def test_bounded_run_and_stats(spark, tmp_path):
     assert stats["serious_percent"] == 33.5 and stats["events_per_minute"] > 0
 
 
+def test_durable_stats(spark, tmp_path):
+    source, folder = str(tmp_path / "in"), str(tmp_path / "stats")
+    rule_rows(spark, 300).withColumn("prediction", F.col("seriousnesshospitalization")).repartition(6).write.parquet(source)
+    stream = E.read_event_files(spark, source, spark.read.parquet(source).schema, maxFilesPerTrigger=1)
+    assert jobs.durable_stats(spark, folder)["processed"] == 0
+    tries = []
+
+    def write(batch, batch_id):
+        tries.append(batch_id)
+        batch.write.mode("overwrite").parquet(str(tmp_path / "out" / f"b{batch_id}"))
+        if tries.count(batch_id) == 1 and batch_id in (0, 3):
+            raise RuntimeError("died")
+
+    for _ in range(2):
+        with pytest.raises(StreamingQueryException):
+            jobs.drain_batches(stream, jobs.with_durable_stats(write, folder), str(tmp_path / "checkpoint"))
+    jobs.drain_batches(stream, jobs.with_durable_stats(write, folder), str(tmp_path / "checkpoint"))
+    totals = jobs.durable_stats(spark, folder)
+    assert (totals["processed"], totals["serious_predicted"]) == (300, 100) and totals["events_per_minute"] > 0
+    assert tries.count(0) == tries.count(3) == 2 and max(tries) == 5
+    # A batch that was counted and comes again counts once.
+    last = spark.read.parquet(str(tmp_path / "out" / "b5"))
+    jobs.with_durable_stats(write, folder)(spark.createDataFrame(last.collect(), last.schema), 5)
+    assert jobs.durable_stats(spark, folder)["processed"] == 300
+
+
+def test_closed_minutes_drop_and_count_late_rows(spark, tmp_path):
+    source, base = str(tmp_path / "in"), str(tmp_path)
+    late = []
+    for start, n in ((0, 600), (100, 50), (1200, 60)):  # ten minutes, some of them again under new ids, a later minute
+        rows = rule_rows(spark, n, start).withColumn("serious", F.col("seriousnesshospitalization"))
+        rows.withColumn("event_id", F.concat(F.lit(f"{start}-{n}-"), "event_id")).write.mode("append").parquet(source)
+        stream = E.read_event_files(spark, source, rows.schema)
+        minutes = E.closed_minutes(E.dedupe(stream, "ts", "2 minutes"), "ts")
+        with jobs.run_stats(spark) as stats:
+            query = jobs.drain_to_parquet(minutes, f"{base}/out", f"{base}/checkpoint")
+        late.append(stats.late)
+    got = spark.read.parquet(f"{base}/out").orderBy("minute").collect()
+    assert late == [0, 50, 0] and [r.events for r in got] == [60] * 10
+    assert len({r.minute for r in got}) == 10 and all(r.serious_events == 20 for r in got)
+    steps = [s for p in query.recentProgress for s in json.loads(p.json)["stateOperators"]]
+    assert steps and all(any(name.startswith("rocksdb") for name in s["customMetrics"]) for s in steps)
+
+
 def test_envelope(spark):
     rows = spark.createDataFrame([(7, "2024-01-01 00:02:30", "r7"), (1234567, "2024-01-01 00:00:00", None)],
                                  "n int, t string, safetyreportid string").withColumn("t", F.col("t").cast("timestamp"))

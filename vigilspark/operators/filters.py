@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from .columns import named
+from .ranking import first_rows
 
 
 def window_bounds(start: str | None, end: str | None) -> tuple[str, str]:
@@ -77,11 +78,6 @@ def fetch_reports(
     return limit_reports(matching, limit).unionByName(limit_reports(_if_none(reports, matching), page))
 
 
-def first_rows(df: DataFrame, order: list[Column], n: int) -> DataFrame:
-    """The first n rows in the given total order. Tasks keep n rows at most, and n rows are merged."""
-    return df.orderBy(*order).limit(n)
-
-
 def balanced_sample(
     reports: DataFrame,
     n_serious: int,
@@ -90,14 +86,11 @@ def balanced_sample(
     end: str | None = None,
 ) -> DataFrame:
     """Up to the given number of reports per class, reports in the window first, then any date."""
-    order = [
-        F.coalesce(in_receive_window(start, end), F.lit(False)).desc(),
-        F.col("receivedate").asc_nulls_last(),
-        F.col("safetyreportid").asc(),
-    ]
+    outside = ~F.coalesce(in_receive_window(start, end), F.lit(False))
+    order = {"_outside": outside, "_undated": F.col("receivedate").isNull(), "_date": F.coalesce("receivedate", F.lit(""))}
 
     def block(serious: bool, n: int) -> DataFrame:
-        return first_rows(filter_serious(reports, serious), order, n)
+        return first_rows(filter_serious(reports, serious), order, ["safetyreportid"], n)
 
     return block(True, n_serious).unionByName(block(False, n_non_serious))
 

@@ -18,6 +18,7 @@ from ..functions import alerts
 from ..session import ensure_checkpoint_dir, scratch_dir
 from .columns import evaluated_once, named
 from .features import score_features
+from .ranking import with_running_sum
 
 LABEL = "is_serious"
 RANDOM_FOREST, GRADIENT_BOOSTING, LOGISTIC = "Random Forest", "Gradient Boosting", "Logistic Regression"
@@ -117,6 +118,10 @@ def score(model: PipelineModel, events: DataFrame) -> DataFrame:
     })
 
 
+def ratio(top: Column, bottom: Column) -> Column:
+    return F.round(F.coalesce(F.try_divide(top.cast("double"), bottom.cast("double")), F.lit(0.0)), 6)
+
+
 def classification_metrics(df: DataFrame, label: str = LABEL, prediction: str = "prediction") -> DataFrame:
     """Accuracy, and precision, recall and F1 of class 1, from one pass of counts; 0 where undefined."""
     y, p = named(label), named(prediction)
@@ -128,9 +133,6 @@ def classification_metrics(df: DataFrame, label: str = LABEL, prediction: str =
         F.count_if((y == 1) & (p == 0)).alias("fn"),
     )
 
-    def ratio(top: Column, bottom: Column) -> Column:
-        return F.round(F.coalesce(F.try_divide(top.cast("double"), bottom.cast("double")), F.lit(0.0)), 6)
-
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     return counts.select(
         F.col("n").alias("rows"),
@@ -149,22 +151,47 @@ def roc_auc(scored: DataFrame, label: str = LABEL, probability: str = "confidenc
     return evaluator.evaluate(scored.select(named(label).cast("double").alias("y"), named(probability).alias("p")))
 
 
+def scored_by_all(models: TrainedModels, rows: DataFrame) -> DataFrame:
+    """Label, and per model its order, prediction and probability of class 1: one narrow pass over the rows for all models."""
+    base = score_features(rows)
+    kept, out = [named(c) for c in base.columns], base
+    for order, model in enumerate(models.models.values()):
+        one = F.struct(F.lit(order).alias("model_order"), F.col("prediction").cast("int").alias("prediction"),
+                       vector_to_array(F.col("probability"))[1].alias("confidence_serious"))
+        out = model.transform(out.select(*kept, *[f"_model{i}" for i in range(order)])).withColumn(f"_model{order}", one)
+    found = F.inline(F.array(*[F.col(f"_model{i}") for i in range(len(models.models))]))
+    return out.select(named(LABEL).cast("int").alias(LABEL), found)
+
+
 def evaluate(models: TrainedModels, test: DataFrame) -> DataFrame:
-    """One row of test metrics per model, in training order. Each model scores the rows once, into the shared folder."""
-    rows = None
-    for order, (name, model) in enumerate(models.models.items()):
-        path = scratch_dir(test.sparkSession, "scored")
-        score(model, test).select(LABEL, "prediction", "confidence_serious").write.parquet(path)
-        scored = test.sparkSession.read.parquet(path)
-        one = classification_metrics(scored).select(
-            F.lit(order).alias("model_order"),
-            F.lit(name).alias("model_name"),
-            "accuracy", "precision", "recall", "f1_score",
-            F.lit(roc_auc(scored)).alias("roc_auc"),
-            F.lit(models.seconds.get(name)).cast("double").alias("training_seconds"),
-        )
-        rows = one if rows is None else rows.unionByName(one)
-    return rows
+    """One row of test metrics per model, in training order.
+
+    The rows are read and scored once, for all models, and counted by model and distinct score. Everything else follows from
+    these counts: precision and the like from their sums, and the area under the ROC curve from the negatives below each
+    score, pairs of equal scores counting half.
+    """
+    spark = test.sparkSession
+    y, p = F.col(LABEL), F.col("prediction")
+    path = scratch_dir(spark, "scores")
+    scored_by_all(models, test).groupBy("model_order", "confidence_serious").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"), F.count_if(y == p).alias("hit"),
+        F.count_if((y == 1) & (p == 1)).alias("tp"), F.count_if((y == 0) & (p == 1)).alias("fp"),
+        F.count_if((y == 1) & (p == 0)).alias("fn")).write.parquet(path)
+    counts = spark.read.parquet(path)
+    ordered = with_running_sum(counts, [F.col("model_order"), F.col("confidence_serious")], "neg", "_below")
+    # Negatives of the models before are part of every running sum; each model has as many as there are.
+    sums = ordered.groupBy("model_order").agg(
+        *[F.sum(c).alias(c) for c in ("n", "pos", "neg", "hit", "tp", "fp", "fn")],
+        F.sum(F.col("pos") * (F.col("_below") + F.col("neg") / 2)).alias("pairs"))
+    tp, fp, fn, pos, neg = (F.col(c).cast("double") for c in ("tp", "fp", "fn", "pos", "neg"))
+    pairs = F.col("pairs") - pos * neg * F.col("model_order")
+    names = spark.createDataFrame(
+        [(i, name, models.seconds.get(name)) for i, name in enumerate(models.models)],
+        "model_order int, model_name string, training_seconds double")
+    return sums.join(F.broadcast(names), "model_order").select(  # one row per model
+        "model_order", "model_name", ratio(F.col("hit"), F.col("n")).alias("accuracy"), ratio(tp, tp + fp).alias("precision"),
+        ratio(tp, tp + fn).alias("recall"), ratio(2 * tp, 2 * tp + fp + fn).alias("f1_score"),
+        F.coalesce(F.try_divide(pairs, pos * neg), F.lit(0.0)).alias("roc_auc"), "training_seconds").orderBy("model_order")
 
 
 def best_model(metrics: DataFrame) -> DataFrame:

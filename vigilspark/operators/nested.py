@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +28,37 @@ def json_normalize(df: DataFrame) -> DataFrame:
     return df.select(*leaves(df.schema.fields, None, ""))
 
 
+# A quoted name in a schema's text, which stays as it is.
+_QUOTED = re.compile(r"(`(?:[^`]|``)*`)")
+
+
+def record_schema(records: DataFrame, column: str = "record") -> T.StructType:
+    """The fields of all records of a VARIANT column, merged: one job that returns one row.
+
+    A field that is a number here and a text there, or a value here and an object there, stays a VARIANT; so does an object
+    that is empty everywhere. A field without any value is text.
+    """
+    text = records.agg(F.schema_of_variant_agg(column)).first()[0] or ""
+    parts = _QUOTED.split(text)
+    for i in range(0, len(parts), 2):
+        parts[i] = re.sub(r"\bVOID\b(?!:)", "STRING", parts[i].replace("OBJECT<>", "VARIANT").replace("OBJECT<", "STRUCT<"))
+    merged = "".join(parts)
+    return T.DataType.fromDDL(merged) if merged.startswith("STRUCT<") else T.StructType([])
+
+
+def normalize_records(records: DataFrame, column: str = "record", schema: T.StructType | None = None) -> DataFrame:
+    """The records' fields as dotted columns at every depth, like ``json_normalize``, for fields that nobody has declared.
+
+    Lists stay whole. Fields of several kinds, which have no one type, become JSON text. With a ``schema`` only its fields
+    are read, and no job looks at the records first.
+    """
+    fields = record_schema(records, column) if schema is None else schema
+    typed = records.select(named(column).cast(fields).alias("_record")).select("_record.*")
+    flat = json_normalize(typed)
+    return flat.select(*[F.to_json(named(f.name)).alias(f.name) if isinstance(f.dataType, T.VariantType) else named(f.name)
+                         for f in flat.schema.fields])
+
+
 def flatten_first(df: DataFrame) -> DataFrame:
     """One level of flattening that keeps only the first element of top-level lists.
 

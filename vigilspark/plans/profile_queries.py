@@ -178,6 +178,17 @@ def eda_report_lines(t: Tables) -> DataFrame:
     return profile.report_lines(_features_v1(t))
 
 
+@query("eda_report_file", _report_sql())
+def eda_report_file(t: Tables) -> DataFrame:
+    """The report written as one text file and read back, its lines numbered as they stand in the file."""
+    path = scratch_dir(t.spark, "report")
+    profile.write_report(profile.report_lines(_features_v1(t)), path)
+    lines = F.split(F.col("value"), "\n")
+    whole = t.spark.read.text(path, wholetext=True)
+    return whole.select(F.posexplode(F.slice(lines, F.lit(1), F.size(lines) - 1)).alias("at", "line")).select(
+        (F.col("at") + 1).alias("line_no"), "line")
+
+
 _SPLIT_SIZES = """SELECT is_serious, n, round(n * 0.10) AS test, round((n - round(n * 0.10)) * 0.22) AS validation
 FROM (SELECT is_serious, CAST(COUNT(*) AS DOUBLE) AS n FROM training GROUP BY is_serious) c"""
 _SPLIT_COUNTS = """SELECT split, is_serious AS label,

@@ -72,7 +72,7 @@ def fetch_reports(t: Tables) -> DataFrame:
     return filters.fetch_reports(t.reports.select(*_SEARCH), "19970301", "19990630", 250, ["serious:1"])
 
 
-def _class_block(serious: str, n: int) -> str:
+def _class_block(serious: str, n: int | str) -> str:
     return f"""(SELECT {_SEARCH_SQL} FROM reports WHERE serious = '{serious}'
     ORDER BY CASE WHEN receivedate BETWEEN '19970301' AND '19970630' THEN 0 ELSE 1 END, receivedate, safetyreportid
     LIMIT {n})"""
@@ -83,6 +83,18 @@ def balanced_sample(t: Tables) -> DataFrame:
     return filters.balanced_sample(t.reports.select(*_SEARCH), 500, 500, "19970301", "19970630")
 
 
+def _class_quarter(serious: str) -> str:
+    return _class_block(serious, "(SELECT COUNT(*) // 4 FROM reports)")
+
+
+@query("balanced_sample_half", _reports(_class_quarter("1") + " UNION ALL " + _class_quarter("2")))
+def balanced_sample_half(t: Tables) -> DataFrame:
+    """Half of all reports, a quarter of each class."""
+    reports = t.reports.select(*_SEARCH)
+    quarter = reports.count() // 4
+    return filters.balanced_sample(reports, quarter, quarter, "19970301", "19970630")
+
+
 _STUDY = "nctId, briefTitle, phase, studyType, overallStatus"
 
 
@@ -393,12 +405,24 @@ def bin_violations(t: Tables) -> DataFrame:
     return features.bin_violations(t.reports, TRAINING)
 
 
-@query("narrow_integers", O.using("training", body="""
-SELECT safetyreportid, CAST(drug_count AS TINYINT) AS drug_count, CAST(report_year AS SMALLINT) AS report_year,
-  CAST(age_group AS TINYINT) AS age_group FROM training"""))
+_NARROWED = {
+    "is_serious": "TINYINT", "reporting_lag_days": "SMALLINT", "report_month": "TINYINT", "report_year": "SMALLINT",
+    "weight_group": "TINYINT", "age_group": "TINYINT", "drug_count": "TINYINT", "reaction_count": "TINYINT",
+    "outcome_severity": "TINYINT", "occurcountry_encoded": "TINYINT", "primarysourcecountry_encoded": "TINYINT",
+    "primary_drug_encoded": "TINYINT", "primary_reaction_encoded": "TINYINT",
+}
+
+
+@query("narrow_integers", O.using("training", body="SELECT safetyreportid, " + ", ".join(
+    f"CAST({c} AS {kind}) AS {c}" for c, kind in _NARROWED.items()) + ", '" + ",".join(
+    f"{c}:{kind.lower()}" for c, kind in sorted(_NARROWED.items())) + "' AS types FROM training"))
 def narrow_integers(t: Tables) -> DataFrame:
-    kept = training_features(t).select(ID, "drug_count", "report_year", "age_group")
-    return columns.narrow_integers(kept)
+    """All integer columns of the training table, with the types that they were given."""
+    narrow = columns.narrow_integers(training_features(t))
+    integers = {f.name: f.dataType.simpleString() for f in narrow.schema.fields
+                if f.dataType.simpleString() in ("tinyint", "smallint", "int", "bigint")}
+    types = ",".join(f"{c}:{kind}" for c, kind in sorted(integers.items()))
+    return narrow.select(ID, *integers, F.lit(types).alias("types"))
 
 
 @query("score_features", O.using("event_fields", body="""

@@ -8,35 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..operators.columns import evaluated_once
 
 SEPARATOR = "$"
 
 
-def _file_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Lines with their file and its first line, the header. Files with the same header need not be neighbours."""
+def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+
+
+def _headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The first line of every file."""
     lines = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
     # Within the first block of a file, lines are numbered in order.
     first = lines.where("block = 0").withColumn("line", F.monotonically_increasing_id())
-    heads = first.groupBy("file").agg(F.min_by("value", "line").alias("header"))
-    return lines.select("value", "file").join(heads, "file")
+    return first.groupBy("file").agg(F.min_by("value", "line").alias("header"))
 
 
-def _parsed(lines: DataFrame, header: str) -> tuple[DataFrame, list[str]]:
-    """The rows of the files with this header, under its names.
-
-    Rows with too many fields are skipped; short rows are kept and padded with nulls. Spark's CSV reader
-    drops or keeps both kinds alike, and judges a row by the columns a query happens to use, so the delimiters
-    of each line are counted before the line is parsed.
-    """
-    names = [c.strip() for c in header.split(SEPARATOR)]
-    own = lines.where((F.col("header") == header) & (F.col("value") != header) & (F.col("value") != ""))
-    # Quoted fields may hold a delimiter, so they are blanked before counting.
-    bare = F.when(F.contains("value", F.lit('"')), F.regexp_replace("value", '"[^"]*"', "")).otherwise(F.col("value"))
-    delimiters = F.length(bare) - F.length(F.replace(bare, F.lit(SEPARATOR), F.lit("")))
-    schema = ", ".join(f"`c{i}` string" for i in range(len(names)))
-    row = F.from_csv("value", schema, {"sep": SEPARATOR, "mode": "PERMISSIVE"})
-    return own.where(delimiters <= len(names) - 1).select("file", row.alias("row")), names
+def _names(header: str) -> list[str]:
+    return [c.strip() for c in header.split(SEPARATOR)]
 
 
 def read_text_table(
@@ -46,22 +37,35 @@ def read_text_table(
 
     Files may order their columns differently or have more of them. Columns are matched by name, in any case; a file
     without one of them gives nulls there. Without ``columns`` all columns of all files come, in order of appearance.
+
+    Rows with too many fields are skipped; short rows are kept and padded with nulls. Spark's CSV reader
+    drops or keeps both kinds alike, and judges a row by the columns a query happens to use, so the delimiters
+    of each line are counted before the line is parsed. The headers are found first; then one scan parses all files, and
+    each column is taken from the place where its file's header has it.
     """
-    lines = _file_lines(spark, path)
-    # As many rows as there are different headers among the files.
-    headers = sorted(r.header for r in lines.select("header").distinct().collect())
-    read = [_parsed(lines, h) for h in headers]
-    wanted = list(columns) if columns is not None else list(dict.fromkeys(n for _, names in read for n in names))
+    heads = _headers(spark, path)
+    headers = sorted(r.header for r in heads.select("header").distinct().collect())  # as many as there are different headers
+    wanted = list(columns) if columns is not None else list(dict.fromkeys(n for h in headers for n in _names(h)))
     extra = ["file"] if with_file else []
-    out = None
-    for rows, names in read:
-        place = {n.lower(): i for i, n in reversed(list(enumerate(names)))}
-        one = rows.select(*extra, *[
-            (F.col(f"row.c{place[c.lower()]}") if c.lower() in place else F.lit(None).cast("string")).alias(c) for c in wanted])
-        out = one if out is None else out.unionByName(one)
-    if out is None:
-        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in [*extra, *wanted]) or "file string")
-    return out
+    layouts = []
+    for header in headers:
+        place = {n.lower(): i for i, n in reversed(list(enumerate(_names(header))))}
+        layouts.append((header, len(_names(header)), [place.get(c.lower()) for c in wanted]))
+    known = spark.createDataFrame(layouts, "header string, width int, places array<int>")
+    # One row per file, of which the driver lists each anyway.
+    files = heads.join(F.broadcast(known), "header")
+    lines = _lines(spark, path).join(F.broadcast(files), "file").where(
+        (F.col("value") != F.col("header")) & (F.col("value") != ""))
+    # Quoted fields may hold a delimiter, so they are blanked before counting.
+    bare = F.when(F.contains("value", F.lit('"')), F.regexp_replace("value", '"[^"]*"', "")).otherwise(F.col("value"))
+    delimiters = F.length(bare) - F.length(F.replace(bare, F.lit(SEPARATOR), F.lit("")))
+    widest = max([width for _, width, _ in layouts], default=1)
+    schema = ", ".join(f"`c{i}` string" for i in range(widest))
+    row = F.from_csv("value", schema, {"sep": SEPARATOR, "mode": "PERMISSIVE"})
+    rows = evaluated_once(lines.where(delimiters < F.col("width")).select("file", "places", "value"), {"row": row})
+    cells = F.array(*[F.col(f"row.c{i}") for i in range(widest)])
+    taken = rows.select("file", F.transform("places", lambda p: F.get(cells, p)).alias("taken"))
+    return taken.select(*extra, *[F.get("taken", i).alias(c) for i, c in enumerate(wanted)])
 
 
 def read_members(

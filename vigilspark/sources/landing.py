@@ -24,6 +24,20 @@ def read_study_pages(spark: SparkSession, path: str, multiline: bool = True) ->
     return pages.select(F.explode("studies").alias("s")).select("s.*")
 
 
+def read_page_records(spark: SparkSession, path: str, array: str = "results", multiline: bool = True) -> DataFrame:
+    """One row per record of the pages' array, as a VARIANT column ``record`` that keeps every field the pages have.
+
+    Pages without the array, or with something else in its place, give no rows. No schema is declared or inferred: the text is
+    parsed once, and ``operators.nested.normalize_records`` gives the records columns.
+    """
+    name = array.replace("\\", "\\\\").replace("'", "\\'")
+    pages = spark.read.option("singleVariantColumn", "page").option("multiLine", multiline).json(path)
+    # Exploding an object would give its fields, each with a key.
+    return spark.sql(
+        "SELECT r.value AS record FROM {pages}, LATERAL variant_explode(try_variant_get(page, '$."
+        f"{name}', 'variant')) AS r WHERE r.key IS NULL", pages=pages)
+
+
 def zone_path(root: str, zone: str, key: str) -> str:
     """Path of a key in the 'raw' zone; every other zone name means 'processed'."""
     return f"{root}/{'raw' if zone == 'raw' else 'processed'}/{key}"

@@ -115,8 +115,14 @@ def dedupe(events: DataFrame, ts: str, watermark: str, key: str = "event_id", sa
 
 def windowed_minutes(events: DataFrame, ts: str, watermark: str, serious: str = "serious") -> DataFrame:
     """Per-minute summary that a stream can emit in append mode."""
+    return closed_minutes(events.withWatermark(ts, watermark), ts, serious)
+
+
+def closed_minutes(events: DataFrame, ts: str, serious: str = "serious") -> DataFrame:
+    """Per-minute summary of events that carry a watermark already, as ``dedupe`` leaves them. In append mode each minute
+    comes once, when the watermark has passed it; later events of it are dropped."""
     return (
-        events.withWatermark(ts, watermark)
+        events
         .groupBy(F.window(ts, "1 minute").alias("w"))
         .agg(F.count(F.lit(1)).alias("events"), F.count_if(F.col(serious) == 1).alias("serious_events"))
         .select(

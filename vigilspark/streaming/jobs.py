@@ -9,7 +9,8 @@ import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -19,12 +20,49 @@ from ..operators.columns import named
 from ..session import scratch_dir
 
 
+_STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def state_outside_heap(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside the block keep their state in RocksDB, in native memory and on the executors' disks, and
+    checkpoint its changes to the checkpoint folder. A restarted stream keeps the provider it began with."""
+    before = {key: spark.conf.get(key, None) for key in _STATE}
+    for key, value in _STATE.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def drain_to_parquet(stream: DataFrame, path: str, checkpoint: str, output_mode: str = "append") -> StreamingQuery:
     """Process everything available now into Parquet and stop."""
-    query = (
-        stream.writeStream.format("parquet").outputMode(output_mode).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start(path)
-    )
+    with state_outside_heap(stream.sparkSession):
+        query = (
+            stream.writeStream.format("parquet").outputMode(output_mode).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start(path)
+        )
+    query.awaitTermination()
+    return query
+
+
+def drain_batches(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str,
+                  output_mode: str = "append") -> StreamingQuery:
+    """Process everything available now by a ``foreachBatch`` function and stop."""
+    with state_outside_heap(stream.sparkSession):
+        query = (
+            stream.writeStream.outputMode(output_mode).foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start()
+        )
     query.awaitTermination()
     return query
 
@@ -47,11 +85,7 @@ def drain_updates(stream: DataFrame, base: str, key: str) -> DataFrame:
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{base}/out/update={batch_id}")
 
-    query = (
-        stream.writeStream.outputMode("update").foreachBatch(write)
-        .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+    drain_batches(stream, write, f"{base}/checkpoint", "update")
     schema = T.StructType([*stream.schema.fields, T.StructField("update", T.LongType())])
     updates = spark.read.schema(schema).parquet(f"{base}/out")
     latest = updates.groupBy(key).agg(F.max_by(F.struct(*[named(c) for c in stream.columns]), "update").alias("row"))
@@ -61,35 +95,49 @@ def drain_updates(stream: DataFrame, base: str, key: str) -> DataFrame:
 class RunStats(StreamingQueryListener):
     """Totals of one query over all its micro-batches, readable while it runs.
 
-    A query keeps only its latest progress reports; this listener adds up every one as it comes.
+    A query keeps only its latest progress reports; this listener adds up every one as it comes, and holds the sums alone.
     """
 
     def __init__(self, metrics: str = "stream_stats"):
         self.metrics = metrics
-        self.batches: dict[int, tuple[int, int, int, int]] = {}
+        self.lock = threading.Lock()
         self.query_id: str | None = None
         self.ended = threading.Event()
+        self._clear()
+
+    def _clear(self) -> None:
+        self.last, self.rows, self.processed, self.serious, self.millis, self.late = -1, 0, 0, 0, 0, 0
 
     def follow(self, query: StreamingQuery) -> RunStats:
         """Count this query only, with the reports it still has from before."""
-        self.query_id = str(query.id)
-        for progress in query.recentProgress:
-            self._add(json.loads(progress.json))
+        with self.lock:
+            self.query_id = str(query.id)
+            self._clear()
+            for progress in query.recentProgress:
+                self._add(json.loads(progress.json))
         return self
 
     def _add(self, progress) -> None:
+        if progress["batchId"] <= self.last:  # reports come in order; one that was counted may come twice
+            return
         found = (progress.get("observedMetrics") or {}).get(self.metrics)
         seen = (found["processed"], found["serious_predicted"]) if found is not None else (0, 0)
         rows = progress["numInputRows"]
+        # The first stateful step sees the stream's rows; the later ones what it lets through. The reports list the last first.
+        late = [step.get("numRowsDroppedByWatermark", 0) for step in progress.get("stateOperators") or []][-1:]
+        self.late += sum(late)
         if rows or any(seen):
-            self.batches[progress["batchId"]] = (rows, *seen, progress["durationMs"].get("triggerExecution", 0))
+            self.last = progress["batchId"]
+            self.rows, self.processed, self.serious = self.rows + rows, self.processed + seen[0], self.serious + seen[1]
+            self.millis += progress["durationMs"].get("triggerExecution", 0)
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
-        if self.query_id in (None, str(event.progress.id)):
-            self._add(json.loads(event.progress.json))
+        with self.lock:
+            if self.query_id in (None, str(event.progress.id)):
+                self._add(json.loads(event.progress.json))
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -98,20 +146,60 @@ class RunStats(StreamingQueryListener):
         if self.query_id in (None, str(event.id)):
             self.ended.set()
 
-    @property
-    def rows(self) -> int:
-        return sum(x[0] for x in self.batches.values())
-
     def totals(self) -> dict[str, float]:
-        processed, serious, millis = (sum(x[k] for x in self.batches.values()) for k in (1, 2, 3))
-        minutes = millis / 60000
-        return {
-            "processed": processed,
-            "serious_predicted": serious,
-            "alerts_sent": serious,
-            "serious_percent": serious * 100.0 / processed if processed else 0.0,
-            "events_per_minute": processed / minutes if minutes else 0.0,
-        }
+        return _stats(self.processed, self.serious, self.millis)
+
+
+def _stats(processed: int, serious: int, millis: float) -> dict[str, float]:
+    minutes = millis / 60000
+    return {
+        "processed": processed,
+        "serious_predicted": serious,
+        "alerts_sent": serious,
+        "serious_percent": serious * 100.0 / processed if processed else 0.0,
+        "events_per_minute": processed / minutes if minutes else 0.0,
+    }
+
+
+_TOTALS = "batch_id long, processed long, serious_predicted long, millis double"
+
+
+def _kept_totals(spark: SparkSession, folder: str, below: int | None = None) -> tuple:
+    """The latest totals, or the latest before a batch. Two are kept, in places that batches use in turn."""
+    found = []
+    for slot in (0, 1):
+        try:
+            found += [tuple(r) for r in spark.read.schema(_TOTALS).parquet(f"{folder}/slot={slot}").collect()]  # one row
+        except AnalysisException:  # not written yet
+            pass
+    found = [r for r in found if below is None or r[0] < below]
+    return max(found, default=(-1, 0, 0, 0.0))
+
+
+def with_durable_stats(write: Callable[[DataFrame, int], None], folder: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that does what ``write`` does and keeps the stream's totals up to each batch.
+
+    The counts are observed as ``write``'s first action runs, without a pass of their own. A batch's totals are those of the
+    batch before it and its own, so a batch that is tried again counts once, and a stream that is stopped and started on its
+    checkpoint goes on from where it was. The driver holds one row.
+    """
+
+    def counted(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        _, processed, serious, millis = _kept_totals(spark, folder, batch_id)
+        seen, started = Observation(), time.monotonic()
+        write(batch.observe(seen, F.count(F.lit(1)).alias("processed"),
+                            F.count_if(F.col("prediction") == 1).alias("serious_predicted")), batch_id)
+        row = (batch_id, processed + seen.get["processed"], serious + seen.get["serious_predicted"],
+               millis + 1000 * (time.monotonic() - started))
+        spark.createDataFrame([row], _TOTALS).coalesce(1).write.mode("overwrite").parquet(f"{folder}/slot={batch_id % 2}")
+
+    return counted
+
+
+def durable_stats(spark: SparkSession, folder: str) -> dict[str, float]:
+    """The totals that ``with_durable_stats`` has kept, whether or not the stream runs."""
+    return _stats(*_kept_totals(spark, folder)[1:])
 
 
 @contextmanager
@@ -189,9 +277,4 @@ def store_rule_alerts(
     """
     store.create_tables(stream.sparkSession, root, store.DAILY)
     name = writer or "stream" + hashlib.md5(checkpoint.encode()).hexdigest()[:12]
-    query = (
-        stream.writeStream.foreachBatch(rule_store_writer(root, now, name, before_commit)).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    return query
+    return drain_batches(stream, rule_store_writer(root, now, name, before_commit), checkpoint)
