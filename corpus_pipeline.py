@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilspark.llm import bpe, decontaminate, language, pii, shingles
+from vigilspark.llm import bpe, decontaminate, language, pii, simhash
 from vigilspark.llm.common import kept, read
 
 MIN_LANGUAGE_SCORE = 0.5
-# The stage takes shingles of five words, as near-duplicate stages do. It joins their sets: texts with a similarity of 0.8
-# may have fingerprints that differ in a dozen bits and more.
-SHINGLE_WORDS = 5
+# Words of a shingle, and differing bits up to which two fingerprints link.
+SHINGLE_WORDS, MAX_BITS = 3, 3
 
 
 def _wrapped(docs: DataFrame) -> DataFrame:
@@ -27,10 +26,15 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (Jaccard similarity of shingles 0.8 or more) stays: that of the least id,
-    null ids last. Rows that repeat both id and text are copies, too."""
+    """One document of each group that fingerprints connect stays: that of the least id, null ids last.
+
+    Rows that repeat both id and text are copies, too. Null, empty and blank texts have fingerprint zero and link like any
+    other; of equal least ids with different texts, which a table of unique ids does not have, one stays.
+    """
     key = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
-    stay = shingles.near_copies(docs.select(key.alias("key"), "text"), words=SHINGLE_WORDS).select(F.col("key").alias("_key"))
+    marked = simhash.with_fingerprint(docs.select(key.alias("key"), "text"), words_per_shingle=SHINGLE_WORDS)
+    groups = simhash.near_groups(kept(marked.select("key", "fp"), "pipeline-simhash"), "key", budget=MAX_BITS)
+    stay = groups.where(F.col("key") == F.col("component_id")).select(F.col("key").alias("_key")).distinct()
     keyed = docs.withColumn("_key", key)
     return keyed.join(stay, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
 
@@ -49,10 +53,12 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their token ids."""
-    return bpe.round_trip(docs).select(
-        "doc_id", "text", "lang", "source", "n_chars", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), "ids")
+    """The documents with all their columns and their token ids; columns of the new names are replaced. Null and empty
+    texts have no ids."""
+    made = {"n_tokens": F.size("ids").cast("long"),
+            "ids_sha256": F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256), "ids": F.col("ids")}
+    rows = bpe.round_trip(_wrapped(docs))
+    return rows.select(*[F.col(f"_row.`{c}`") for c in docs.columns if c not in made], *[c.alias(n) for n, c in made.items()])
 
 
 STAGES = [("language_id", language_id), ("simhash_near_dedup", near_duplicates),
@@ -63,6 +69,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written and read again as the next one's input."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = kept(stage(spark, docs, sf_dir), f"pipeline-{name}")
