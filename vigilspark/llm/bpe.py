@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import CACHE_ENTRIES, with_columns
+from .common import CACHE_ENTRIES, hold, with_columns
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END = "</w>"
@@ -173,6 +173,7 @@ def round_trip(docs: DataFrame, *, text: str = "text", vocabulary: str = VOCABUL
     """All columns of ``docs`` with ``ids`` and ``decoded``. Null and empty texts have no ids and decode to ''. Columns of
     these two names are replaced."""
     def make():
+        hold("bpe", _ENCODERS.clear)
         bpe = encoder(vocabulary)
 
         def work(texts):

@@ -20,6 +20,8 @@ from vigilspark.session import ensure_checkpoint_dir, scratch_dir
 CACHE_ENTRIES = 400_000
 GROUP_CHARS = 1_000_000
 _SHIPPED: set[str] = set()
+# What empties the caches of each operator that this Python worker has run.
+_HELD: dict[str, Callable[[], None]] = {}
 
 
 def ship(spark: SparkSession) -> None:
@@ -37,6 +39,14 @@ def ship(spark: SparkSession) -> None:
     context.addPyFile(archive)
 
 
+def hold(owner: str, release: Callable[[], None]) -> None:
+    """Called in a Python worker by an operator that is about to keep something between tasks, with what empties it. What
+    other operators have kept goes, since a worker that is used again would hold the caches of every operator before."""
+    for name in [n for n in _HELD if n != owner]:
+        _HELD.pop(name)()
+    _HELD[owner] = release
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

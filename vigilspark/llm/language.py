@@ -9,13 +9,14 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import CACHE_ENTRIES, fold, groups, kept, with_columns
+from .common import CACHE_ENTRIES, fold, groups, hold, kept, with_columns
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 UNKNOWN = "und"
@@ -117,8 +118,29 @@ class Model:
     mark: str
 
 
-# Sums of words already seen by this Python worker, for the model it last used.
-_CACHE: dict[str, dict[str, list[float]]] = {}
+class Sums:
+    """Sums of words already seen by this Python worker: their places, and a row of numbers each."""
+
+    def __init__(self, langs: int):
+        self.place: dict[str, int] = {}
+        self.rows = np.empty((1024, langs))
+
+    def add(self, words: Iterator[tuple[str, list[float]]]) -> None:
+        for word, sums in words:
+            at = len(self.place)
+            if at == len(self.rows):
+                self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])
+            self.rows[at] = sums
+            self.place[word] = at
+
+    def of(self, counts: Counter) -> np.ndarray:
+        """The sums of a text, given its words."""
+        at = np.fromiter(map(self.place.__getitem__, counts), np.int64, len(counts))
+        return np.fromiter(counts.values(), np.float64, len(counts)) @ self.rows[at]
+
+
+# For the model that this Python worker last used.
+_CACHE: dict[str, Sums] = {}
 
 
 def fit(labelled: DataFrame, *, text: str = "text", lang: str = "lang", key: str = "doc_id", per_language: int = 500,
@@ -188,30 +210,28 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
     def make():
         langs, table = model.langs, model.table
         longest = max(map(len, table), default=1)
+        hold("language", _CACHE.clear)
         if model.mark not in _CACHE:
             _CACHE.clear()
-            _CACHE[model.mark] = {}
+            _CACHE[model.mark] = Sums(len(langs))
         cache = _CACHE[model.mark]
 
         def judge(counts: Counter):
             # The runs may consist of other numerals, such as superscripts, alone.
             if not langs or not any(c.isalpha() for word in counts for c in word):
                 return UNKNOWN, 0.0
-            sums = [0.0] * len(langs)
-            for word, n in counts.items():
-                for k, x in enumerate(cache[word]):
-                    sums[k] += n * x
-            best = max(range(len(langs)), key=lambda k: sums[k])
-            return langs[best], 1.0 / sum(math.exp(x - sums[best]) for x in sums)
+            sums = cache.of(counts)
+            best = int(sums.argmax())  # the first of equal ones
+            return langs[best], float(1.0 / np.exp(sums - sums[best]).sum())
 
         def work(texts):
             got = []
             for group in groups(texts):
                 counts = [Counter(words_of(t)) for t in group]
-                if len(cache) > CACHE_ENTRIES:
-                    cache.clear()
-                fresh = {w for c in counts for w in c if w not in cache} if langs else ()
-                cache.update(forward(list(fresh), table, len(langs), longest))
+                if len(cache.place) > CACHE_ENTRIES:
+                    cache.place.clear()
+                fresh = {w for c in counts for w in c if w not in cache.place} if langs else ()
+                cache.add(forward(list(fresh), table, len(langs), longest))
                 got += [judge(c) for c in counts]
             return [pa.array([x[0] for x in got], pa.string()), pa.array([x[1] for x in got], pa.float64())]
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from vigilspark.session import scratch_dir
 
-from .common import CACHE_ENTRIES, groups, kept
+from .common import CACHE_ENTRIES, groups, hold, kept
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 LENGTH = 2048
@@ -213,6 +213,7 @@ def write(docs: DataFrame, folder: str, *, key: str = "doc_id", text: str = "tex
     ordered = rows.repartitionByRange(shards, "key").sortWithinPartitions("key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("token files", _ENCODERS.clear)
         bpe = encoder(vocabulary)
         closing = b"" if end_id is None else np.array([end_id], bpe.kind).tobytes()
         shard = TaskContext.get().partitionId()
