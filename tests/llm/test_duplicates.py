@@ -150,6 +150,32 @@ def test_vectors_match_brute_force(spark, blocks):
     assert multiindex.near_vectors(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["int", "string", "date"])
+def test_vectors_with_repeated_ids(spark, kind):
+    rng = np.random.default_rng(3)
+    base = rng.standard_normal((6, 4))
+    rows = []
+    for i in range(120):  # ids repeat within a label, across labels, and with equal and with other vectors
+        v = base[i % 6] + rng.standard_normal(4) * (0.0 if i % 4 == 0 else 0.08)
+        rows.append((i % 40, [float(x) for x in v], i % 3))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, n int").withColumn(
+        "label", F.date_add(F.lit("2024-01-01").cast("date"), F.col("n")) if kind == "date" else F.format_string("l %d", "n") if kind == "string"
+        else F.col("n")).withColumn("label_id", F.lit("clash"))
+    got = [tuple(r) for r in multiindex.near_vectors(df).collect()]
+    assert sorted(got, key=str) == brute_vectors(rows)
+
+
+def test_probes_reach_what_brute_force_over_all_cells_reaches():
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((400, 8))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    grid = multiindex.fit(x, 6, 0.98)
+    home, row, cell = grid.probes(x)
+    assert home.tolist() == grid.cells(x).tolist()
+    want = [[c for d, c in sorted((grid.distance(x[i : i + 1], np.array([c]))[0], c) for c in range(36)) if d <= grid.reach] for i in range(400)]
+    assert all(sorted(cell[row == i].tolist()) == sorted(want[i]) and cell[row == i][0] == home[i] for i in range(400))
+
+
 def test_vectors_of_the_tables(spark):
     df = read(spark, SF, "embeddings")
     rows = [(r.vec_id, r.embedding, r.label) for r in df.collect()]
