@@ -83,8 +83,8 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var t="</p>";</scri
 <section id="comments"><p>Nice!</p></section><aside>Side</aside><footer>&copy; me</footer>"""
 
 
-def text_of(source, template=frozenset()):
-    return "\n\n".join(htmltext.main_blocks(htmltext.parse(source), template))
+def text_of(source):
+    return "\n\n".join(htmltext.main_blocks(htmltext.parse(source)))
 
 
 def test_main_text_of_one_page():
