@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import time
 import re
 
 import pytest
@@ -61,6 +62,19 @@ def test_language_odd_rows(spark):
     assert {x.lang_pred for x in language.identify(docs, empty).collect()} == {"und"}
 
 
+def test_expected_pieces_of_long_words():
+    rng = random.Random(1)
+    table = {p: rng.random() * 0.1 for p in ["▁", "a", "b", "ab", "ba", "aab", "▁a"]}
+    # Every letter lies in one piece, whatever the length of the word.
+    for n in (3, 20, 400, 3000):
+        counts = language.expected_pieces("ab" * n, table, 3)
+        assert math.isclose(sum(len(p) * x for p, x in counts.items()), 2 * n + 1, rel_tol=1e-6)
+    short, long = (language.expected_pieces("ab" * n, table, 3) for n in (60, 120))  # in numbers, and in logarithms
+    longer = language.expected_pieces("ab" * 180, table, 3)
+    for p in ("a", "ab", "ba"):
+        assert math.isclose(longer[p] - long[p], long[p] - short[p], rel_tol=1e-6)
+
+
 # Toxicity
 
 
@@ -140,6 +154,36 @@ def test_pii_added_spans_context_and_redaction(spark):
     assert pii.op7_pii(spark, docs.limit(0)).count() == 0
 
 
+def test_redaction_matches_brute_force_and_is_linear(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(60):
+        n = rng.choice([0, 1, 5, 200, 300])
+        body = "".join(rng.choice("aé\U0001f600 ") for _ in range(rng.choice([20, 3000])))
+        spans = []
+        for _ in range(n):
+            a = rng.randrange(len(body))
+            z = min(len(body), a + rng.randint(1, 12))
+            spans.append((rng.choice(["ip", "card"]), a, z, body[a:z], 0.5))
+        rows.append((i, body, spans))
+    rows.append((100, None, []))
+    schema = "doc_id long, text string, pii array<struct<kind:string,start:bigint,end:bigint,value:string,score:double>>"
+
+    def brute(body, spans):
+        out, at = "", 0
+        for kind, a, z, *_ in sorted(spans, key=lambda s: (s[1], -s[2], s[0])):
+            if a >= at:
+                out, at = out + body[at:a] + f"<{kind.upper()}>", z
+        return body if body is None else out + body[at:]
+
+    got = {r.doc_id: r.text for r in pii.redact(spark.createDataFrame(rows, schema)).collect()}
+    assert got == {i: brute(body, spans) for i, body, spans in rows}
+    many = spark.createDataFrame([(1, "write to a.b@example.org or 10.1.2.3 " * 30_000)], "doc_id long, text string")
+    begun = time.time()
+    text = pii.redact(pii.find(many)).first().text
+    assert text == "write to <EMAIL> or <IP> " * 30_000 and time.time() - begun < 60
+
+
 def test_pii_stays_in_the_jvm_without_a_shuffle(spark):
     plan = queries.op7_pii(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
@@ -155,6 +199,15 @@ def test_pii_is_linear_on_long_runs(spark):
 # Decontamination
 
 
+def test_items_of_frequent_words_keep_seeds():
+    words = [f"w{i}" for i in range(40)]
+    seeds = decontaminate.Seeds([(1, words)], dict.fromkeys(words, 0.02))  # copies of the item are most of the corpus
+    assert len(seeds.hashes) >= decontaminate.LEAST_SEEDS
+    for cut in range(40):  # one changed word takes three seeds at most
+        text = " ".join(w if i != cut else "other" for i, w in enumerate(words))
+        assert [x["item_id"] for x in seeds.leaks(text, 0.5)] == [1]
+
+
 def items_and_docs():
     rng = random.Random(4)
     words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(2000)]

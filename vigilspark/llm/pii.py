@@ -128,21 +128,50 @@ def _with_gap(kind: str):
     return lambda value, i: (F.length(F.get(F.col(f"_pii_parts.{kind}_gaps"), i)) + F.length(value)).cast("long")
 
 
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is evaluated once, however often it is mentioned."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def redact(docs: DataFrame, *, text: str = "text", spans: str = "pii") -> DataFrame:
     """``docs`` with every span of the text replaced by its kind in angle brackets; of overlapping spans the first to
-    start, then the longest, counts. Null stays null."""
-    order = F.array_sort(spans, lambda a, b: F.when(a["start"] != b["start"], (a["start"] - b["start"]).cast("int")).otherwise(
-        (b["end"] - a["end"]).cast("int")))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
-    pieces = F.aggregate(order, start, lambda acc, s: F.when(s["start"] < acc["at"], acc).otherwise(F.struct(
-        s["end"].alias("at"), F.concat(acc["out"], F.array(
-            F.substr(F.col(text), (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")),
-            F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">")))).alias("out"))))
-    done = evaluated_once(docs, {"_pii_pieces": pieces})
-    tail = F.substr(F.col(text), (F.col("_pii_pieces.at") + 1).cast("int"))
-    whole = F.when(F.size(spans) == 0, F.col(text)).otherwise(
-        F.concat(F.array_join("_pii_pieces.out", ""), tail))
-    return done.withColumn(text, whole).drop("_pii_pieces")
+    start, then the longest, counts. Null stays null.
+
+    Finding a place in a text takes a walk from its beginning, so the text is cut where each block of spans ends, and the
+    places of a block are sought in its own part: long texts with many spans take linear time.
+    """
+    order = F.array_sort(F.transform(spans, lambda s: F.struct(
+        s["start"].alias("start"), (-s["end"]).alias("less"), F.upper(s["kind"]).alias("kind"))))
+    sorted_docs = evaluated_once(docs, {"_pii_order": order})
+    count = F.size("_pii_order")
+    blocks = F.when(count == 0, F.array().cast("array<array<struct<start:bigint,less:bigint,kind:string>>>")).otherwise(
+        F.transform(F.sequence(F.lit(0), F.floor((count - 1) / BLOCK).cast("int")), lambda b: F.slice("_pii_order", b * BLOCK + 1, BLOCK)))
+    cut = evaluated_once(sorted_docs, {"_pii_blocks": blocks})
+
+    def reach(block: Column, at: Column) -> Column:
+        """Where the last span of the block that counts ends."""
+        return F.aggregate(block, at, lambda acc, s: F.when(s["start"] < acc, acc).otherwise(-s["less"]))
+
+    def written(block: Column, part: Column, begin: Column) -> Column:
+        """The block's part of the text, which begins at ``begin``, with its spans replaced."""
+        start = F.struct(begin.alias("at"), F.array().cast("array<string>").alias("out"))
+        done = F.aggregate(block, start, lambda acc, s: F.when(s["start"] < acc["at"], acc).otherwise(F.struct(
+            (-s["less"]).alias("at"), F.concat(acc["out"], F.array(
+                F.substr(part, (acc["at"] - begin + 1).cast("int"), (s["start"] - acc["at"]).cast("int")),
+                F.concat(F.lit("<"), s["kind"], F.lit(">")))).alias("out"))))
+        return F.array_join(done["out"], "")
+
+    def step(acc: Column, block: Column) -> Column:
+        return _bound(reach(block, acc["at"]), lambda to: F.struct(
+            to.alias("at"), F.substr(acc["rest"], (to - acc["at"] + 1).cast("int")).alias("rest"),
+            F.concat(acc["out"], F.array(_bound(
+                F.substr(acc["rest"], F.lit(1), (to - acc["at"]).cast("int")),
+                lambda part: written(block, part, acc["at"])))).alias("out")))
+
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.col(text).alias("rest"), F.array().cast("array<string>").alias("out"))
+    done = evaluated_once(cut, {"_pii_done": F.aggregate("_pii_blocks", start, step)})
+    whole = F.when(count == 0, F.col(text)).otherwise(F.concat(F.array_join("_pii_done.out", ""), F.col("_pii_done.rest")))
+    return done.withColumn(text, whole).drop("_pii_order", "_pii_blocks", "_pii_done")
 
 
 def _joined(spans: Column) -> Column:
