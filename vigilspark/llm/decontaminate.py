@@ -16,9 +16,9 @@ from .common import with_columns
 
 WORD = re.compile(r"\w+")
 SEED_WORDS = 3
-# A seed is rare if words drawn independently with the corpus's frequencies give it with at most this probability. This
-# does not change with the size of the corpus, nor with the number of copies of the passage that holds the seed.
-RARE = 1e-8
+# A seed is rare if words drawn independently with the corpus's frequencies give it with at most this probability, which does
+# not change with the size of the corpus. Copies of a passage make its words frequent, so every item keeps some seeds anyway.
+RARE, LEAST_SEEDS = 1e-8, 8
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SCORE = 0.5
 MIN_ITEM_WORDS = 5
@@ -81,8 +81,8 @@ class Seeds:
             logs = [math.log10(share.get(w, 0.0) or 1e-300) for w in ws]
             odds = [sum(logs[p : p + SEED_WORDS]) for p in range(len(ws) - SEED_WORDS + 1)]
             hashes = grams(self.items[k])
-            # An item of frequent words alone keeps its rarest n-gram.
-            cut = max(math.log10(RARE), min(odds, default=0.0))
+            # Whatever the corpus, an item has its rarest n-grams as seeds, so one of them outlives some edits.
+            cut = max(math.log10(RARE), sorted(odds)[: LEAST_SEEDS][-1] if odds else 0.0)
             found += [(int(hashes[p]), k, p) for p, x in enumerate(odds) if x <= cut]
         found.sort()
         self.hashes = np.array([h for h, _, _ in found], np.uint64)
