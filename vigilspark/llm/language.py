@@ -100,15 +100,29 @@ def expected_pieces(word: str, table: dict, longest: int) -> dict[str, float]:
         if word[end - 1] not in table:
             ahead[end] += ahead[end - 1] * UNSEEN
             used.append((end - 1, end, UNSEEN))
-    for start, end, p in reversed(used):
-        behind[start] += p * behind[end]
     counts: dict[str, float] = {}
-    if ahead[n] > 0:
+    if ahead[n] < SMALL:  # a long word: the same in logarithms, since its probability is too small a number
+        logs, back = [0.0] + [-math.inf] * n, [-math.inf] * n + [0.0]
         for start, end, p in used:
-            counts[word[start:end]] = counts.get(word[start:end], 0.0) + ahead[start] * p * behind[end] / ahead[n]
+            logs[end] = _log_sum(logs[end], logs[start] + math.log(max(p, 1e-300)))
+        for start, end, p in reversed(used):
+            back[start] = _log_sum(back[start], back[end] + math.log(max(p, 1e-300)))
+        for start, end, p in used:
+            share = math.exp(logs[start] + math.log(max(p, 1e-300)) + back[end] - logs[n])
+            counts[word[start:end]] = counts.get(word[start:end], 0.0) + share
+        return counts
+    for start, end, p in reversed(used):
+        behind[start] += p * behind[end]
+    for start, end, p in used:
+        counts[word[start:end]] = counts.get(word[start:end], 0.0) + ahead[start] * p * behind[end] / ahead[n]
     return counts
 
 
+def _log_sum(a: float, b: float) -> float:
+    high, low = max(a, b), min(a, b)
+    return high if low == -math.inf else high + math.log1p(math.exp(low - high))
+
+
 @dataclass
 class Model:
     """Languages in order of name and, per piece, one probability per language. ``mark`` names the model in caches."""
@@ -180,10 +194,9 @@ def fit(labelled: DataFrame, *, text: str = "text", lang: str = "lang", key: str
             sums: dict[str, dict[str, float]] = {}
             for b in batches:
                 for name, word, n in zip(*(b.column(c).to_pylist() for c in ("lang", "word", "n")), strict=True):
-                    if len(word) <= 100:
-                        own = sums.setdefault(name, {})
-                        for piece, x in expected_pieces(word, tables[name], longest).items():
-                            own[piece] = own.get(piece, 0.0) + n * x
+                    own = sums.setdefault(name, {})
+                    for piece, x in expected_pieces(word, tables[name], longest).items():
+                        own[piece] = own.get(piece, 0.0) + n * x
             for name, own in sums.items():
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([name] * len(own), pa.string()), pa.array(list(own), pa.string()),
