@@ -152,6 +152,13 @@ def test_pii_added_spans_context_and_redaction(spark):
     clean = {r.doc_id: r.text for r in pii.redact(found).collect()}
     assert clean[1].startswith("account <IBAN> or GB83") and clean[2] == "call <PHONE> now" and clean[4] is None
     assert pii.op7_pii(spark, docs.limit(0)).count() == 0
+    # The score decides on the added kinds: a number of this form counts where words say what it is.
+    numbers = spark.createDataFrame([(1, "SSN: 123-45-6789"), (2, "part 123-45-6789"), (3, "ssn 000-45-6789 or 123-45-67890"),
+                                     (4, "her social security number is 219-09-9999, call +1 (717) 555-0202")], "doc_id long, text string")
+    got = {r.doc_id: (r.spans, r.scores) for r in pii.op7_pii(spark, numbers).collect()}
+    assert got[1] == ("ssn:5:16", "0.80") and got[2] == got[3] == ("", "")
+    assert got[4] == ("phone:48:65,ssn:30:41", "0.80,0.80")
+    assert [len(r.pii) for r in pii.find(numbers, min_score=0.0).orderBy("doc_id").collect()] == [1, 1, 0, 2]
 
 
 def test_redaction_matches_brute_force_and_is_linear(spark):

@@ -20,6 +20,8 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     # Two letters, two check digits and up to 30 letters or digits, single spaces allowed between them.
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    # Three, two and four digits: one of many numbers of that form, unless words say that it is a person's.
+    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
 # Words near a span that make it likelier to be what it looks like.
 CONTEXT = {
@@ -28,12 +30,16 @@ CONTEXT = {
     "card": "card|visa|credit|payment|karte|tarjeta|carte",
     "phone": r"phone|\btel|call|mobile|fax|telefon|tel[eé]fono",
     "iban": "iban|account|bank|konto|cuenta|compte",
+    "ssn": r"\bssn\b|social security|taxpayer|\btin\b",
 }
 BASE_KINDS = ["email", "ip", "card", "phone"]
-KINDS = [*BASE_KINDS, "iban"]
+KINDS = [*BASE_KINDS, "iban", "ssn"]
 CONTEXT_CHARS = 40
-BASE_SCORE = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.5, "iban": 0.8}
-CONTEXT_BONUS = 0.1
+# Score of a match that passes its check, and what a context word before it adds.
+BASE_SCORE = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.5, "iban": 0.8, "ssn": 0.3}
+CONTEXT_BONUS = {"email": 0.1, "ip": 0.2, "card": 0.1, "phone": 0.3, "iban": 0.1, "ssn": 0.5}
+# Matches of the kinds beside the base ones count from this score on.
+MIN_SCORE = 0.5
 BLOCK = 128
 
 SPAN = "array<struct<kind:string,start:bigint,end:bigint,value:string,score:double>>"
@@ -90,26 +96,32 @@ def _holds(kind: str, value: Column) -> Column:
         return F.length(digits).between(8, 15)
     if kind == "iban":
         return mod97(value)
+    if kind == "ssn":  # areas 000, 666 and 900 on, group 00 and serial 0000 are not given to anyone
+        return ~F.rlike(value, F.lit("^(?:000|666|9)|-00-|-0000$"))
     return F.lit(True)
 
 
-def _found(kind: str, gaps: Column, values: Column, begins: Column) -> Column:
+def _found(kind: str, gaps: Column, values: Column, begins: Column, min_score: float) -> Column:
     """Spans of one kind. What lies between the matches gives their places and the words before them."""
     rows = F.transform(values, lambda v, i: F.struct(
         F.lit(kind).alias("kind"), (F.get(begins, i) + F.length(F.get(gaps, i))).alias("start"),
         (F.get(begins, i) + F.length(F.get(gaps, i)) + F.length(v)).alias("end"), v.alias("value"),
         (F.lit(BASE_SCORE[kind]) + F.when(
             F.rlike(F.lower(F.right(F.get(gaps, i), F.lit(CONTEXT_CHARS))), F.lit(CONTEXT[kind])),
-            F.lit(CONTEXT_BONUS)).otherwise(F.lit(0.0))).alias("score")))
-    return F.when(F.size(values) == 0, F.array().cast(SPAN)).otherwise(F.filter(rows, lambda s: _holds(kind, s["value"])))
+            F.lit(CONTEXT_BONUS[kind])).otherwise(F.lit(0.0))).alias("score")))
+    # Scores are sums of tenths, which are rounded before they are compared.
+    scored = F.transform(rows, lambda s: s.withField("score", F.round(s["score"], 2)))
+    if kind not in BASE_KINDS:
+        scored = F.filter(scored, lambda s: s["score"] >= min_score)
+    return F.when(F.size(values) == 0, F.array().cast(SPAN)).otherwise(F.filter(scored, lambda s: _holds(kind, s["value"])))
 
 
-def find(docs: DataFrame, *, text: str = "text", kinds: list[str] = KINDS) -> DataFrame:
+def find(docs: DataFrame, *, text: str = "text", kinds: list[str] = KINDS, min_score: float = MIN_SCORE) -> DataFrame:
     """All columns of ``docs`` with ``pii``: spans (kind, start, end, value, score) by kind as listed, then by start.
 
     Starts and ends are in code points, the end exclusive. Matches of one kind do not overlap; a match that fails its
-    check is dropped. The score rises where a context word stands in the forty characters before the span. Null and empty
-    texts hold no spans. A column called ``pii`` is replaced. The work is one projection: no shuffle, no Python.
+    check is dropped. The score rises where a context word stands in the forty characters before the span; of the kinds beside
+    the base ones only spans of ``min_score`` and more are found. Null and empty texts hold no spans. A column called ``pii`` is replaced. The work is one projection: no shuffle, no Python.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     parts = F.struct(*[x for kind in kinds for x in (
@@ -119,7 +131,7 @@ def find(docs: DataFrame, *, text: str = "text", kinds: list[str] = KINDS) -> Da
     # What a lambda refers to is evaluated for each element, so the places are columns of their own.
     begins = {f"_pii_{k}": _starts(F.transform(f"_pii_parts.{k}_values", _with_gap(k))) for k in kinds}
     placed = evaluated_once(cut, begins)
-    spans = F.concat(*[_found(k, F.col(f"_pii_parts.{k}_gaps"), F.col(f"_pii_parts.{k}_values"), F.col(f"_pii_{k}"))
+    spans = F.concat(*[_found(k, F.col(f"_pii_parts.{k}_gaps"), F.col(f"_pii_parts.{k}_values"), F.col(f"_pii_{k}"), min_score)
                        for k in kinds])
     return evaluated_once(placed, {"pii": spans}).drop("_pii_parts", *begins)
 
@@ -184,8 +196,10 @@ def _of_kind(kind: str) -> Column:
 
 
 def op7_pii(spark, docs: DataFrame) -> DataFrame:
+    """Spans of all documents, with their scores in the spans' order; columns but doc_id and text are ignored."""
     found = find(docs.select("doc_id", "text"))
+    base = F.filter("pii", lambda s: s["kind"].isin(BASE_KINDS))
     return found.select(
         "doc_id", *[F.size(_of_kind(k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS],
-        F.sha2(_joined(F.filter("pii", lambda s: s["kind"] != "iban")), 256).alias("base_sha256"),
-        _joined(F.col("pii")).alias("spans"))
+        F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("pii")).alias("spans"),
+        F.array_join(F.transform("pii", lambda s: F.format_number(s["score"], 2)), ",").alias("scores"))
