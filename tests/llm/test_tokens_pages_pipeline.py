@@ -71,6 +71,15 @@ def test_token_files_round_trip(spark, tmp_path):
     shard = tokenfile.Shard(folder, "shard-000000")
     batch = shard.file.get_batch(0)
     assert batch.column("ids").type.list_size == 64 and batch.column("mask").flatten().to_pylist()[0] is True
+    # Every sequence and its mask: all of the shard's ids in order, and padding behind the last one alone.
+    for row in manifest.collect():
+        shard = tokenfile.Shard(folder, f"shard-{row.shard:06d}")
+        ids, masks = zip(*(shard.sequence(i) for i in range(shard.sequences)), strict=True)
+        assert {len(x) for x in ids} == {len(x) for x in masks} == {64}
+        assert all(not x.flags.owndata for x in ids)
+        mask = np.concatenate(masks)
+        assert mask.tolist() == [i < row.ids for i in range(len(mask))] and len(mask) - row.ids < 64
+        assert np.concatenate(ids)[mask].tolist() == shard.ids(0, row.ids).tolist() and not np.concatenate(ids)[~mask].any()
     empty = tokenfile.write(docs.limit(0), str(tmp_path / "none"))
     assert tokenfile.read(empty, str(tmp_path / "none")).count() == 0
 

@@ -187,6 +187,17 @@ class Shard:
             self.batch = (k, self.file.get_batch(k).column(0).flatten().to_numpy(zero_copy_only=True))
         return self.batch[1]
 
+    @property
+    def sequences(self) -> int:
+        """Number of equal-length sequences in the shard."""
+        return sum(self.file.get_batch(k).num_rows for k in range(self.file.num_record_batches))
+
+    def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sequence ``i`` of the shard: its ids, a view of the mapped file, and its mask, true for ids and false for padding."""
+        k, row = divmod(i, BATCH_SEQUENCES)
+        mask = self.file.get_batch(k).column(1).slice(row, 1).flatten()
+        return self._values(k)[row * self.length : (row + 1) * self.length], mask.to_numpy(zero_copy_only=False)
+
     def ids(self, start: int, n: int) -> np.ndarray:
         """``n`` ids from a place of the shard."""
         step = self.length * BATCH_SEQUENCES
