@@ -97,6 +97,35 @@ def test_machine_learns_a_pair():
     assert scores[0] > 0.7 and max(scores[1:]) < 0.5
 
 
+def test_margins_are_sums_over_pairs():
+    rng = random.Random(3)
+    import numpy as np
+
+    machine = toxicity.Machine({}, 0.3, np.array([rng.gauss(0, 1) for _ in range(9)]), np.random.default_rng(2).standard_normal((9, 8)))
+    rows = [sorted(rng.sample(range(9), rng.randint(0, 9))) for _ in range(40)] + [[]]
+    want = [0.3 + sum(machine.weights[i] for i in r) + sum(float(machine.factors[i] @ machine.factors[j]) for i in r for j in r if i < j)
+            for r in rows]
+    assert np.allclose(machine.margins(rows)[0], want)
+
+
+def test_fit_learns_a_pair(spark):
+    rng = random.Random(6)
+    filler = [f"word{i}" for i in range(60)]
+    rows, labels = [], []
+    for i in range(3000):
+        insult, group = rng.random() < 0.4, rng.random() < 0.4  # toxic only together
+        words = rng.choices(filler, k=12) + ["insult"] * insult + ["group"] * group
+        rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(insult and group)))
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    machine = toxicity.fit(docs.where("doc_id % 4 <> 0"), marks.where("doc_id % 4 <> 0"))
+    held = toxicity.score(docs.where("doc_id % 4 = 0"), machine).join(marks, "doc_id").collect()
+    assert sum((r.score >= 0.5) == (r.toxic == 1) for r in held) > 0.97 * len(held)
+    pair = machine.factors[machine.chosen[toxicity.terms("insult")[0]]] @ machine.factors[machine.chosen[toxicity.terms("group")[0]]]
+    assert pair > 0
+
+
 def test_toxicity_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, 3.0), (2, "", 3.0), (None, "x" * 200_000, 3.0)], "doc_id long, text string, score double")
     assert toxicity.fit(docs, docs.limit(0).select("doc_id", F.lit(1).alias("toxic"))) is None
