@@ -190,6 +190,8 @@ def round_trip(docs: DataFrame, *, text: str = "text", vocabulary: str = VOCABUL
 
 
 def op4_bpe(spark, docs: DataFrame) -> DataFrame:
+    """Ids and decoded text of every document, as digests. Null and empty texts have no ids, repeated rows give equal results,
+    an empty table gives no rows, and columns but doc_id and text are ignored."""
     done = round_trip(docs.select("doc_id", "text"))
     return done.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),

@@ -177,6 +177,7 @@ def annotate(docs: DataFrame, items: DataFrame, *, text: str = "text", item_id:
 
 
 def op10_decontaminate(spark, docs: DataFrame, items: DataFrame) -> DataFrame:
-    """One row per document and test item found in it."""
+    """One row per document and test item found in it, with the alignment's score and place in words. Null and empty texts hold
+    nothing, repeated rows and items each count, empty tables give no rows, and columns but the ids and texts are ignored."""
     found = annotate(docs.select("doc_id", "text"), items).select("doc_id", F.explode("leaks").alias("leak"))
     return found.select("doc_id", "leak.*")

@@ -1,11 +1,12 @@
-"""Removal of long passages that occur more than once, with a family of sparse suffix arrays of geometric sizes.
+"""Removal of long passages that occur more than once, with a family of anchor tables of geometric sizes.
 
 Any 200 bytes contain an *anchor*: the place of the least hash among the hashes of their 169 runs of 32 bytes. It depends
-on those bytes alone, so equal passages have equal anchors. A suffix array keeps only the suffixes at anchors, about one
+on those bytes alone, so equal passages have equal anchors. A table keeps only the places of anchors, about one
 in 85, each with the *stretch* of bytes around it that its 200-byte windows cover. Entries are ordered by the hash of the
-suffix's first 32 bytes, then by the hash of the stretch: suffixes that share a long match are neighbours.
+first 32 bytes at the anchor, then by the hash of the stretch: places that share a long match are neighbours. Equality is that
+of 64-bit hashes; bytes are not compared once more.
 
-New documents form a batch with a suffix array of its own. It is merged in order with all existing levels in one scan,
+New documents form a batch with a table of its own. It is merged in order with all existing levels in one scan,
 which finds the matches between them; levels of its size are replaced by one of double size, as in a binary counter.
 
 * Entries whose whole stretch is equal match in all their windows, and one of them stands for all from then on.
@@ -157,7 +158,7 @@ def _rows(kind: str, **columns) -> pa.RecordBatch:
 _OUT = f"kind string, {ENTRY}, begin long, end long"
 
 
-def _suffix_array(length: int):
+def _anchor_table(length: int):
     """Entries of a batch of documents. Equal stretches of one task are matched here, before any shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -247,7 +248,7 @@ class RepeatIndex:
         self.contests: list[DataFrame] = []
 
     def add(self, docs: DataFrame) -> None:
-        made = kept(docs.mapInArrow(_suffix_array(self.length), _OUT), "suffix-array")
+        made = kept(docs.mapInArrow(_anchor_table(self.length), _OUT), "anchor-table")
         self.spans.append(made.where("kind = 'span'"))
         entries = [made.where("kind = 'entry'").withColumns({"level": F.lit(-1), "merge": F.lit(True)})]
         carry = 0
@@ -262,7 +263,7 @@ class RepeatIndex:
             both = both.union(more.select(columns))
         ranges = max(1, -(-both.count() // self.scan_rows))
         ordered = both.repartitionByRange(ranges, "key", "stretch").sortWithinPartitions("key", "stretch", "level")
-        done = kept(ordered.mapInArrow(_scan(self.length), _OUT), "suffix-level")
+        done = kept(ordered.mapInArrow(_scan(self.length), _OUT), "anchor-level")
         self.spans.append(done.where("kind = 'span'"))
         self.contests.append(done.where("kind = 'contest'"))
         self.levels += [None] * (carry + 1 - len(self.levels))
@@ -429,4 +430,6 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
 
 
 def op9_repeats(spark, docs: DataFrame) -> DataFrame:
+    """Every document's bytes that repeat, counted, and a digest of the others. Null and empty texts have no bytes, rows that
+    repeat a whole text of 200 bytes lose all of it, an empty table gives no rows, and columns but doc_id and text are ignored."""
     return remove_repeats(docs.select("doc_id", "text")).drop("kept")

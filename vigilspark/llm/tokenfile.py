@@ -262,6 +262,10 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
 
 
 def op3_token_files(spark, docs: DataFrame) -> DataFrame:
+    """Every document's place and ids in the files, the ids as a checksum. Null and empty texts have the end id alone, rows that
+    repeat an id follow one another, null ids come first, an empty table gives no file and no rows, and columns but doc_id and
+    text are ignored.
+    """
     folder = scratch_dir(spark, "token-files")
     manifest = write(docs.select("doc_id", "text"), folder)
     return read(manifest, folder).withColumnRenamed("key", "doc_id")
