@@ -19,7 +19,8 @@ def _wrapped(docs: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a recognised language; those without letters or of doubtful language go."""
+    """Documents with a recognised language; null, empty and blank texts, those without letters and those of doubtful language
+    go. Repeated rows share their fate."""
     found = language.identify(_wrapped(docs), language.fit(docs))
     good = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)
     return found.where(good).select("_row.*")
@@ -35,18 +36,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     marked = simhash.with_fingerprint(docs.select(key.alias("key"), "text"), words_per_shingle=SHINGLE_WORDS)
     groups = simhash.near_groups(kept(marked.select("key", "fp"), "pipeline-simhash"), "key", budget=MAX_BITS)
     stay = groups.where(F.col("key") == F.col("component_id")).select(F.col("key").alias("_key")).distinct()
-    keyed = docs.withColumn("_key", key)
-    return keyed.join(stay, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
+    keyed = docs.select(F.struct(*docs.columns).alias("_row"), key.alias("_key"))
+    return keyed.join(stay, "_key", "left_semi").dropDuplicates(["_key"]).select("_row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item, whole or edited, go."""
+    """Documents that hold a benchmark item, whole or edited, go. Null and empty texts hold none."""
     found = decontaminate.annotate(_wrapped(docs), read(spark, sf_dir, "benchmark"))
     return found.where(F.size("leaks") == 0).select("_row.*")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document stays; spans of personal data in its text become their kind in angle brackets."""
+    """Every document stays; spans of personal data in its text become their kind in angle brackets, and ``n_chars`` counts
+    what is left. Null texts stay null."""
     clean = pii.redact(pii.find(_wrapped(docs))).withColumn("n_chars", F.length("text").cast("long"))
     new = {"text", "n_chars"}
     return clean.select(*[F.col(c) if c in new else F.col(f"_row.`{c}`") for c in docs.columns])
