@@ -173,6 +173,45 @@ def test_pipeline_stages(spark):
     assert set(docs.columns) <= set(now.columns) and "n_tokens" in now.columns
 
 
+CLASHES = ["_row", "_key", "key", "fp", "lang_pred", "score", "leaks", "leaks_here", "pii", "_pii_order", "ids", "decoded", "word",
+           "component_id", "n_tokens"]
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_with_odd_rows_and_clashing_columns(spark, name):
+    stage = dict(corpus_pipeline.STAGES)[name]
+    plain = read(spark, SF, "documents").limit(40)
+    long = " ".join(plain.first().text.split()[:200]) + " "
+    odd = spark.createDataFrame(
+        [(9001, None, None, None, None), (9002, "", "", "", 0), (9003, " \n", "en", "s", 2), (9004, long * 1500, "en", "s", 1),
+         (9005, "write to a.b@example.org now " * 3000, "en", "s", 1), (9005, "write to a.b@example.org now " * 3000, "en", "s", 1),
+         (None, "write to the other one of the two", "en", "s", 1), (9006, "x" * 200_000, "en", "s", 1)], plain.schema)
+    docs = plain.union(odd)
+    for c in CLASHES:
+        docs = docs.withColumn(c, F.lit(f"own {c}"))
+    docs = kept(docs, "clash")
+    out = kept(stage(spark, docs, SF), f"clash-{name}")
+    bare = kept(stage(spark, docs.select(*plain.columns), SF), f"bare-{name}")
+    new = ["n_tokens", "ids_sha256", "ids"] if name == "bpe" else []
+    assert set(docs.columns) | set(new) == set(out.columns)
+    some = [c for c in plain.columns]
+    assert sorted(map(str, out.select(*some).collect())) == sorted(map(str, bare.select(*some).collect()))
+    for c in set(CLASHES) - set(new):
+        assert {r[0] for r in out.select(f"`{c}`").distinct().collect()} == {f"own {c}"}
+    ids = [r.doc_id for r in out.select("doc_id").collect()]
+    if name in ("pii", "bpe"):
+        assert len(ids) == docs.count()
+    if name == "simhash_near_dedup":
+        assert ids.count(9005) == 1 and ids.count(9001) + ids.count(9002) + ids.count(9003) == 1
+    if name == "benchmark_decontamination":
+        assert set(ids) >= {9001, 9002, 9003, 9006, None}
+    if name == "language_id":
+        assert not {9001, 9002, 9003} & set(ids)
+    if name == "pii":
+        texts = {r.doc_id: r.text for r in out.collect()}
+        assert texts[9001] is None and texts[9005] == "write to <EMAIL> now " * 3000
+
+
 def test_pipeline_of_no_documents(spark):
     now = read(spark, SF, "documents").limit(0)
     for name, stage in corpus_pipeline.STAGES:
