@@ -85,19 +85,9 @@ SCORE_REVIEW = 0.8
 # Stream topics and envelope.
 TOPIC_EVENTS = "adverse-events"
 TOPIC_ALERTS = "safety-alerts"
-TOPIC_PROCESSED = "processed-events"
 STREAM_SOURCE = "FDA_FAERS_STREAM"
 
-# FAERS text tables: prefix to content.
-FAERS_TABLES = {
-    "DEMO": "demographics",
-    "DRUG": "drug_info",
-    "REAC": "reactions",
-    "OUTC": "outcomes",
-    "RPSR": "report_sources",
-    "THER": "therapy",
-    "INDI": "indications",
-}
+# FAERS text tables that are chosen unless told otherwise.
 FAERS_DEFAULT_TABLES = ["DEMO", "REAC", "DRUG", "OUTC"]
 
 # Share of rows held out for test, then share of the rest held out for validation.

@@ -16,11 +16,6 @@ def named(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def with_default(df: DataFrame, name: str, value) -> DataFrame:
-    """Add the column with a constant where the input lacks it."""
-    return df if name in df.columns else df.withColumn(name, F.lit(value))
-
-
 def has_any(df: DataFrame, names: Iterable[str]) -> list[str]:
     return [name for name in names if name in df.columns]
 
