@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -179,19 +179,24 @@ def _kept_totals(spark: SparkSession, folder: str, below: int | None = None) ->
 def with_durable_stats(write: Callable[[DataFrame, int], None], folder: str) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that does what ``write`` does and keeps the stream's totals up to each batch.
 
-    The counts are observed as ``write``'s first action runs, without a pass of their own. A batch's totals are those of the
-    batch before it and its own, so a batch that is tried again counts once, and a stream that is stopped and started on its
-    checkpoint goes on from where it was. The driver holds one row.
+    The batch is kept while it is counted and written, so it is computed once. Its totals are those of the batch before it and
+    its own, so a batch that is tried again counts once, and a stream that is stopped and started on its checkpoint goes on
+    from where it was. The driver holds one row.
     """
 
     def counted(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         _, processed, serious, millis = _kept_totals(spark, folder, batch_id)
-        seen, started = Observation(), time.monotonic()
-        write(batch.observe(seen, F.count(F.lit(1)).alias("processed"),
-                            F.count_if(F.col("prediction") == 1).alias("serious_predicted")), batch_id)
-        row = (batch_id, processed + seen.get["processed"], serious + seen.get["serious_predicted"],
-               millis + 1000 * (time.monotonic() - started))
+        started = time.monotonic()
+        # Counted, not observed: a session that has observed batches can no longer score with a fitted forest, whose training
+        # summary holds the session.
+        held = batch.persist()
+        try:
+            seen = held.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("prediction") == 1).alias("serious")).first()
+            write(held, batch_id)
+        finally:
+            held.unpersist()
+        row = (batch_id, processed + seen.n, serious + seen.serious, millis + 1000 * (time.monotonic() - started))
         spark.createDataFrame([row], _TOTALS).coalesce(1).write.mode("overwrite").parquet(f"{folder}/slot={batch_id % 2}")
 
     return counted
