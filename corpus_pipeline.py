@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilspark.llm import bpe, decontaminate, language, pii, simhash
-from vigilspark.llm.common import kept, read
+from vigilspark.llm.common import kept, read, ship
 
 MIN_LANGUAGE_SCORE = 0.5
 # Words of a shingle, and differing bits up to which two fingerprints link.
@@ -15,13 +15,15 @@ SHINGLE_WORDS, MAX_BITS = 3, 3
 
 def _wrapped(docs: DataFrame) -> DataFrame:
     """The rows as one column beside their text, so that no column of theirs clashes with an operator's."""
+    ship(docs.sparkSession)
     return docs.select(F.struct(*docs.columns).alias("_row"), F.col("text"))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised language; null, empty and blank texts, those without letters and those of doubtful language
     go. Repeated rows share their fate."""
-    found = language.identify(_wrapped(docs), language.fit(docs))
+    rows = _wrapped(docs)
+    found = language.identify(rows, language.fit(docs))
     good = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)
     return found.where(good).select("_row.*")
 
@@ -32,6 +34,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows that repeat both id and text are copies, too. Null, empty and blank texts have fingerprint zero and link like any
     other; of equal least ids with different texts, which a table of unique ids does not have, one stays.
     """
+    ship(spark)
     key = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
     marked = simhash.with_fingerprint(docs.select(key.alias("key"), "text"), words_per_shingle=SHINGLE_WORDS)
     groups = simhash.near_groups(kept(marked.select("key", "fp"), "pipeline-simhash"), "key", budget=MAX_BITS)
