@@ -18,6 +18,9 @@ from vigilspark.session import ensure_checkpoint_dir, scratch_dir
 
 # Memory that one Python worker lends to its cache of words.
 CACHE_ENTRIES = 400_000
+# Rows of a batch that a Python worker gets at once.
+ROWS_PER_BATCH = 2000
+_BATCH_ROWS, _DEFAULT_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
 GROUP_CHARS = 1_000_000
 _SHIPPED: set[str] = set()
 # What empties the caches of each operator that this Python worker has run.
@@ -25,7 +28,10 @@ _HELD: dict[str, Callable[[], None]] = {}
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application, for sessions started without it on their path."""
+    """Send this package to the Python workers, once per application, for sessions started without it on their path, and
+    keep the batches that they get small: whole texts are long rows."""
+    if spark.conf.get(_BATCH_ROWS) == _DEFAULT_ROWS:  # unless the session says otherwise
+        spark.conf.set(_BATCH_ROWS, str(ROWS_PER_BATCH))
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return

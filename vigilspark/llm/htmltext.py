@@ -17,6 +17,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -56,6 +57,8 @@ OUTSIDE_WORDS = frozenset([
 FILED = re.compile(r"(?:category|cat|tag|tags|topic|post|page|type|format|status|author|term|taxonomy)-")
 # A slot of a page without an article element is no article text if more than this share of it is links.
 LINKS = 0.5
+# Hosts whose templates a task keeps at once.
+KNOWN_HOSTS = 200
 OPEN_ENDED = {"p": frozenset(["p"]), "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
               "tr": frozenset(["tr"])}
 
@@ -298,9 +301,15 @@ def _arrangements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         held.clear()
         return made
 
+    known: dict[str, list[list[int]]] = {}
     for b in batches:
-        for host, seen, classes in zip(*(b.column(c).to_pylist() for c in ("host", "tokens", "classes")), strict=True):
-            for number, lies in arranged(seen, classes):
+        every = b.column("classes")
+        for i, (host, seen) in enumerate(zip(b.column("host").to_pylist(), b.column("tokens").to_pylist(), strict=True)):
+            if host not in known:  # a host's classes stand in each of its rows
+                if len(known) >= KNOWN_HOSTS:
+                    known.clear()
+                known[host] = every[i].as_py()
+            for number, lies in arranged(seen, known[host]):
                 x = held.setdefault((host, number), [lies, lies])
                 x[0], x[1] = min(x[0], lies), max(x[1], lies)
         if len(held) > 200_000:
@@ -339,17 +348,24 @@ def templates(pages: DataFrame) -> DataFrame:
         "host", F.coalesce(valid, F.array().cast("array<long>")).alias("template"), F.flatten("classes").alias("printed"))
 
 
+def _pieces(column: pa.ListArray) -> Iterator[bytes]:
+    """The lists of numbers of a column, each as bytes; null is empty. Most rows repeat one of a few lists."""
+    ends, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+    for i, valid in enumerate(column.is_valid().to_pylist()):
+        yield values[ends[i] : ends[i + 1]].tobytes() if valid else b""
+
+
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known: dict[tuple, Template] = {}
+    known: dict[tuple[bytes, bytes], Template] = {}
     for b in batches:
         texts = []
-        lists = zip(b.column("_template").to_pylist(), b.column("_printed").to_pylist(), strict=True)
-        for source, (template, printed) in zip(b.column("_html").to_pylist(), lists, strict=True):
-            shape = (tuple(template or ()), tuple(printed or ()))
+        lists = [_pieces(b.column(c)) for c in ("_template", "_printed")]
+        for source, *shape in zip(b.column("_html").to_pylist(), *lists, strict=True):
+            shape = tuple(shape)
             if shape not in known:
-                if len(known) > 1000:
+                if len(known) >= KNOWN_HOSTS:
                     known.clear()
-                known[shape] = Template(*(frozenset(x & (1 << 64) - 1 for x in tokens) for tokens in shape))
+                known[shape] = Template(*(frozenset(np.frombuffer(x, np.uint64).tolist()) for x in shape))
             texts.append("\n\n".join(main_blocks(parse(source), known[shape])))
         yield pa.RecordBatch.from_arrays(
             [b.column("_row"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
