@@ -1,11 +1,14 @@
 """Streams give what the batch operators give, replays change nothing, unreadable messages are kept apart."""
 
 import json
+import time
 
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
+import __spark_entry__ as entry
 from vigilspark import constants as K
 from vigilspark.operators import rules, store
 from vigilspark.sources import external
@@ -115,6 +118,76 @@ def test_bounded_run_and_stats(spark, tmp_path):
     assert stats["serious_percent"] == 33.5 and stats["events_per_minute"] > 0
 
 
+class LateReports(StreamingQueryListener):
+    """Holds up the reports of micro-batches, as a busy driver does."""
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        time.sleep(4)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
+def test_bounded_query_stops_though_reports_come_late(spark):
+    late = LateReports()
+    spark.streams.addListener(late)
+    try:
+        row = entry.queries()["stream_bounded_run"](spark, entry.SMOKE_DIR).first()
+    finally:
+        spark.streams.removeListener(late)
+    assert row.asDict() == {"enough": True, "stopped_in_time": True, "strangers": 0}
+
+
+def test_bounded_query_on_few_events_and_missing_ids(spark, tmp_path):
+    events = spark.read.parquet(f"{entry.SMOKE_DIR}/events.parquet").limit(6)
+    missing = events.withColumn("event_id", F.when(F.col("event_id") % 2 == 0, F.col("event_id")))
+    for name, rows in (("empty", events.where("false")), ("one", events.limit(1)), ("missing", missing)):
+        rows.write.parquet(str(tmp_path / name / "events.parquet"))
+        row = entry.queries()["stream_bounded_run"](spark, str(tmp_path / name)).first()
+        assert row.asDict() == {"enough": True, "stopped_in_time": True, "strangers": 0}, name
+
+
+def test_limited_run_refuses_what_comes_after_and_goes_on_from_there(spark, tmp_path):
+    source, out, checkpoint = (str(tmp_path / name) for name in ("in", "out", "checkpoint"))
+    rule_rows(spark, 400).repartition(8).write.parquet(source)
+    stream = E.read_event_files(spark, source, spark.read.parquet(source).schema, maxFilesPerTrigger=1)
+
+    def write(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    # The limit is first looked at when the stream has long refused its next micro-batch.
+    largest = spark.read.parquet(source).groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    first = jobs.run_limited(stream, write, checkpoint, 150, poll_seconds=8)
+    assert 150 <= first < 150 + largest and spark.read.parquet(out).count() == first
+    assert jobs.run_limited(stream, write, checkpoint, 1000, idle_seconds=3, poll_seconds=0.1) == 400 - first
+    assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == sorted(str(n) for n in range(400))
+
+    def fail(batch, batch_id):
+        raise RuntimeError("died")
+
+    with pytest.raises(StreamingQueryException, match="died"):
+        jobs.run_limited(stream, fail, str(tmp_path / "c2"), 150, poll_seconds=0.1)
+
+
+def test_a_long_micro_batch_is_not_idle(spark, tmp_path):
+    source = str(tmp_path / "in")
+    rule_rows(spark, 40).repartition(4).write.parquet(source)
+    stream = E.read_event_files(spark, source, spark.read.parquet(source).schema, maxFilesPerTrigger=2)
+
+    def slow(batch, batch_id):
+        batch.write.format("noop").mode("append").save()
+        time.sleep(5)
+
+    query = stream.writeStream.foreachBatch(slow).option("checkpointLocation", str(tmp_path / "c")).start()
+    assert jobs.run_bounded(query, idle_seconds=2, poll_seconds=0.1) == 40
+
+
 def test_durable_stats(spark, tmp_path):
     source, folder = str(tmp_path / "in"), str(tmp_path / "stats")
     rule_rows(spark, 300).withColumn("prediction", F.col("seriousnesshospitalization")).repartition(6).write.parquet(source)

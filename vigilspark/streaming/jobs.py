@@ -224,21 +224,74 @@ def run_bounded(
 ) -> int:
     """Let a running query go on until it has been idle or has seen enough events, then stop it.
 
-    Returns the number of events processed. The limit is checked between micro-batches.
+    Returns the number of events processed. The limit is looked at from outside when reports come, so micro-batches that begin
+    before then still count; ``run_limited`` lets none begin.
     """
     with run_stats(SparkSession.active()) as seen:
         seen.follow(query)
-        news, count = time.monotonic(), seen.rows
-        while query.isActive:
-            if seen.rows > count:
-                news, count = time.monotonic(), seen.rows
-            if (max_events is not None and seen.rows >= max_events) or time.monotonic() - news > idle_seconds:
-                break
-            time.sleep(poll_seconds)
-        query.stop()
+        _stop_when_idle_or_enough(query, lambda: seen.rows, idle_seconds, max_events, poll_seconds)
     return seen.rows
 
 
+def _stop_when_idle_or_enough(query: StreamingQuery, rows: Callable[[], int], idle_seconds: float, max_events: int | None,
+                              poll_seconds: float) -> None:
+    news, count = time.monotonic(), rows()
+    while query.isActive:
+        found, status = rows(), query.status
+        # A query that starts or works on a micro-batch is not idle, however long that takes.
+        busy = status["message"].startswith("Initializing") or (status["isTriggerActive"] and status["isDataAvailable"])
+        if busy or found > count:
+            news, count = time.monotonic(), found
+        if (max_events is not None and found >= max_events) or time.monotonic() - news > idle_seconds:
+            break
+        time.sleep(poll_seconds)
+    query.stop()
+
+
+class LimitReached(Exception):
+    """Ends a stream whose limit was reached and which had not been stopped yet."""
+
+
+def run_limited(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, max_events: int,
+                idle_seconds: float = 30.0, poll_seconds: float = 0.5, **trigger) -> int:
+    """Hand micro-batches to a ``foreachBatch`` function until they held enough events or none came for a while, then stop.
+
+    Returns the number of events written. The stream itself keeps the limit: the micro-batch that reaches it is the last one
+    written, however late the stop comes. A next one is refused before anything of it is written and not committed, so a
+    stream that is started again on the checkpoint goes on with it. Each micro-batch is kept while it is counted and written.
+    """
+    state = (-1, 0, 0)  # latest micro-batch written, events up to it, events before it
+
+    def limited(batch: DataFrame, batch_id: int) -> None:
+        nonlocal state
+        written = state[1]
+        if written >= max_events:
+            raise LimitReached(f"{written} events were written, the limit is {max_events}")
+        held = batch.persist()
+        try:
+            rows = held.count()
+            write(held, batch_id)
+        finally:
+            held.unpersist()
+        state = (batch_id, written + rows, written)
+
+    def committed() -> int:
+        last, written, before = state
+        report = query.lastProgress  # of the query itself, made before the next micro-batch begins
+        return written if report is not None and report.batchId >= last else before
+
+    with state_outside_heap(stream.sparkSession):
+        query = (
+            stream.writeStream.foreachBatch(limited).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "0 seconds"})).start()
+        )
+    _stop_when_idle_or_enough(query, committed, idle_seconds, max_events, poll_seconds)
+    error = query.exception()
+    if error is not None and LimitReached.__name__ not in str(error):
+        raise error
+    return state[1]
+
+
 def rule_store_writer(root: str, now: Column | None = None, writer: str = "rules",
                       before_commit: Callable[[], None] | None = None) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that scores a micro-batch and appends its events and alerts together.
