@@ -6,7 +6,7 @@ import json
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import alerts
 from ..session import ensure_checkpoint_dir, scratch_dir
+from .boosting import BlockGBTClassifier
 from .columns import evaluated_once, named
 from .features import score_features
 from .ranking import with_running_sum
@@ -70,7 +71,7 @@ def random_forest(features: list[str] = K.MODEL_FEATURES, trees: int = 100) -> P
 
 
 def gradient_boosting(features: list[str] = K.MODEL_FEATURES, rounds: int = 100) -> Pipeline:
-    boosting = GBTClassifier(
+    boosting = BlockGBTClassifier(
         labelCol=LABEL, maxIter=rounds, stepSize=0.1, maxDepth=6, seed=K.SEED, checkpointInterval=10,
     )
     return Pipeline(stages=[_assembler(features), boosting])
