@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from vigilspark import constants as K
 from vigilspark.operators import boosting, ml
 from vigilspark.operators.boosting import BlockGBTClassifier
-from vigilspark.session import ensure_checkpoint_dir
+from vigilspark.session import compilable_code, ensure_checkpoint_dir
 
 
 def jobs_of(spark, work):
@@ -94,7 +94,32 @@ def test_boosting_of_one_class_and_of_what_it_leaves_to_spark(spark, noisy):
         BlockGBTClassifier(**SETTINGS).fit(noisy.withColumn("y", F.lit(2)))
 
 
+def test_forest_keeps_no_node_ids(spark, noisy):
+    made = ml.random_forest(trees=5).getStages()[-1]
+    assert not made.getCacheNodeIds()
+    made = made.copy({made.labelCol: "y"})
+    cached = made.copy({made.cacheNodeIds: True})
+    assert made.fit(noisy).toDebugString.splitlines()[1:] == cached.fit(noisy).toDebugString.splitlines()[1:]
+
+
+def test_training_rows_are_spread(spark):
+    rows = spark.range(1000).coalesce(1).withColumn("x", F.col("id") % 7)
+    few = ml.spread(rows, 300)
+    assert few.rdd.getNumPartitions() == 4 and max(few.rdd.mapPartitions(lambda p: [sum(1 for _ in p)]).collect()) <= 300
+    assert sorted(few.collect()) == sorted(rows.collect())
+    assert ml.spread(rows).rdd.getNumPartitions() == 1 and ml.spread(rows.where("id < 0")).count() == 0
+
+
 def test_thresholds():
     assert boosting.thresholds_of(np.array([3.0, 1.0, 1.0, 2.0]), 32).tolist() == [1.5, 2.5]
     assert boosting.thresholds_of(np.full(5, 2.0), 32).tolist() == []
     assert boosting.thresholds_of(np.arange(100.0), 4).tolist() == [24.5, 49.5, 74.5]
+
+
+def test_compilable_code_is_restored(spark):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+    with pytest.raises(ValueError), compilable_code(spark):
+        assert spark.conf.get(key) == "8000"
+        raise ValueError
+    assert spark.conf.get(key) == before

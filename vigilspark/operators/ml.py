@@ -25,6 +25,8 @@ LABEL = "is_serious"
 RANDOM_FOREST, GRADIENT_BOOSTING, LOGISTIC = "Random Forest", "Gradient Boosting", "Logistic Regression"
 
 
+# Rows of a training task; of each the forest keeps some 500 bytes, with a number per tree.
+TASK_ROWS = 200_000
 # Ranks within a class are counted in so many parts, each a task's work.
 SPLIT_PARTS = 256
 
@@ -63,9 +65,9 @@ def _assembler(features: list[str]) -> VectorAssembler:
 
 
 def random_forest(features: list[str] = K.MODEL_FEATURES, trees: int = 100) -> Pipeline:
+    # Kept node ids would be a number per row and tree, written anew at every level; walking the trees gives the same.
     forest = RandomForestClassifier(
-        labelCol=LABEL, numTrees=trees, maxDepth=10, minInstancesPerNode=2, seed=K.SEED,
-        cacheNodeIds=True, checkpointInterval=10,
+        labelCol=LABEL, numTrees=trees, maxDepth=10, minInstancesPerNode=2, seed=K.SEED, cacheNodeIds=False,
     )
     return Pipeline(stages=[_assembler(features), forest])
 
@@ -94,10 +96,17 @@ class TrainedModels:
     seconds: dict[str, float] = field(default_factory=dict)
 
 
+def spread(rows: DataFrame, most: int = TASK_ROWS) -> DataFrame:
+    """The rows in so many partitions that each has about ``most`` rows or fewer: what a learner keeps of one is a block, which
+    stays in memory or goes to disk as a whole."""
+    parts = -(-rows.count() // most)
+    return rows.repartition(parts) if parts > rows.rdd.getNumPartitions() else rows
+
+
 def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
-    """Fit on a stored training table; the tree learners checkpoint to the shared folder."""
+    """Fit on a stored training table; boosting checkpoints to the shared folder."""
     ensure_checkpoint_dir(train.sparkSession)
-    return pipeline.fit(train.select(LABEL, *feature_columns(train)))
+    return pipeline.fit(spread(train.select(LABEL, *feature_columns(train))))
 
 
 def score(model: PipelineModel, events: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from ..functions import bands, dates, risk, trials
 from ..functions.coerce import is_serious_numeric, is_serious_text, to_number
 from ..functions.text import ascii_only
 from ..operators import cleaning, columns, encoding, features, filters, nested
-from ..session import scratch_dir
+from ..session import compilable_code, scratch_dir
 from . import oracle as O
 from .registry import query
 from .tables import Tables
@@ -379,7 +379,8 @@ def training_features(t: Tables) -> DataFrame:
 def stored_training(t: Tables) -> DataFrame:
     """The training table, written once: the split reads it twice."""
     path = scratch_dir(t.spark, "training")
-    training_features(t).write.parquet(path)
+    with compilable_code(t.spark):
+        training_features(t).write.parquet(path)
     return t.spark.read.parquet(path)
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -49,3 +51,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Point ``DataFrame.checkpoint`` and the tree learners at the shared folder when nothing has yet."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(scratch_root(spark))
+
+
+@contextmanager
+def compilable_code(spark: SparkSession) -> Iterator[None]:
+    """Within it, plans run without whole-stage code where that has methods that HotSpot only interprets (over 8,000 bytes)."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "8000")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
