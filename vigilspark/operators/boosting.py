@@ -18,6 +18,8 @@ from .columns import named
 
 # Rows of a block; a task's memory does not depend on how many blocks it has.
 BLOCK_ROWS = 65_536
+# Rows of a task's blocks, where there are enough for all cores: a pass over fewer takes less time than to start it.
+TASK_ROWS = 2_000_000
 # Up to so many rows, or the square of the bins, are looked at for the thresholds, as Spark ML does.
 THRESHOLD_ROWS = 10_000
 # Variance below this share of the mean square is what rounding leaves of equal values.
@@ -250,7 +252,9 @@ class BlockGBTClassifier(GBTClassifier):
         thresholds = [thresholds_of(seen[:, i], min(self.getMaxBins(), n)) for i in range(facts.features)]
         cuts = [len(t) for t in thresholds]
         trees: list[Tree] = []
-        held = state = blocks(rows, thresholds).persist(StorageLevel.MEMORY_AND_DISK)
+        cores = spark.sparkContext.defaultParallelism
+        tasks = cores * -(-n // (cores * TASK_ROWS))
+        held = state = blocks(rows, thresholds).coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK)
         keeps = self.getCheckpointInterval() > 0 and spark.sparkContext.getCheckpointDir() is not None
         last = None
         try:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import alerts
 from ..session import ensure_checkpoint_dir, scratch_dir
+from .boosting import TASK_ROWS as BLOCK_TASK_ROWS
 from .boosting import BlockGBTClassifier
 from .columns import evaluated_once, named
 from .features import score_features
@@ -106,7 +107,8 @@ def spread(rows: DataFrame, most: int = TASK_ROWS) -> DataFrame:
 def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
     """Fit on a stored training table; boosting checkpoints to the shared folder."""
     ensure_checkpoint_dir(train.sparkSession)
-    return pipeline.fit(spread(train.select(LABEL, *feature_columns(train))))
+    most = BLOCK_TASK_ROWS if isinstance(pipeline.getStages()[-1], BlockGBTClassifier) else TASK_ROWS
+    return pipeline.fit(spread(train.select(LABEL, *feature_columns(train)), most))
 
 
 def score(model: PipelineModel, events: DataFrame) -> DataFrame:
